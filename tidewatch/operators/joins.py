@@ -4,17 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # A key is hot when it owns more than one row in HOT_PARTS; so there are at most HOT_PARTS hot keys.
 HOT_PARTS = 2_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A broadcast hint where at most ``max_rows`` rows are counted, else ``df`` as it is, for a shuffled join.
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
-    ``df`` should be a written table: the count then stops after ``max_rows`` rows and recomputes nothing.
+
+def is_small(table: DataFrame) -> bool:
+    """Whether a written table is safe to broadcast: few rows, and few bytes of text in them.
+
+    Counting rows reads file footers only; text is measured only where the rows are few.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if table.count() > MAX_BROADCAST_ROWS:
+        return False
+    texts = [f.name for f in table.schema.fields if isinstance(f.dataType, StringType)]
+    if not texts:
+        return True
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0).cast("bigint"))
+    return (table.agg(F.sum(size)).first()[0] or 0) <= MAX_BROADCAST_BYTES
+
+
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """A broadcast hint for a small written table; a bigger one is left to a shuffled join."""
+    return F.broadcast(table) if is_small(table) else table
 
 
 def key_weights(big: DataFrame, key: str, weight: str = "_rows") -> DataFrame:
@@ -29,13 +45,15 @@ def hot_keys(weights: DataFrame, weight: str) -> DataFrame:
 
 
 def lookup(big: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
-    """Add the columns of ``table`` (one row per ``key``) to the rows of ``big``.
+    """Add the columns of a written ``table`` (one row per text ``key``) to the rows of ``big``.
 
-    ``hot`` is a subset of ``table`` from ``hot_keys``: by that rule never more than HOT_PARTS rows, so it
-    is broadcast. Only the other keys meet ``table`` by shuffle, and rows already served are spread
-    over all tasks by a hash of the row, so a key holding a third of ``big`` loads no single task.
-    The key is text.
+    A small table is broadcast. Beyond that, ``hot`` comes in: a subset of ``table`` from ``hot_keys``,
+    by that rule never more than HOT_PARTS rows, is broadcast, and only the other keys meet ``table``
+    by shuffle. Rows already served are spread over all tasks by a hash of the row, so a key holding a
+    third of ``big`` loads no single task.
     """
+    if is_small(table):
+        return big.join(F.broadcast(table), key, how).select(*big.columns, *[c for c in table.columns if c != key])
     values = [c for c in table.columns if c != key]
 
     def side(rows: DataFrame, name: str) -> DataFrame:

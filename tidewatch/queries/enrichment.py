@@ -121,15 +121,10 @@ def resources(spark, sf):
 @query("SELECT gram, language, lp AS score FROM gram_scores", "gram_scores")
 def fit_language_profile(spark, sf):
     profile = fitted(spark, sf)
-    long = profile.table.filter(F.col("gram") != language.UNSEEN).unpivot(
-        "gram", list(profile.languages), "language", "score"
-    )
-    never = profile.table.filter(F.col("gram") == language.UNSEEN).unpivot(
-        "gram", list(profile.languages), "language", "never"
-    )
-    return long.join(never.drop("gram"), "language").filter(F.col("score") > F.col("never")).select(
-        "gram", "language", "score"
-    )
+    grams = profile.table.filter(F.col("kind") == language.GRAM)
+    long = grams.unpivot("item", list(profile.languages), "language", "score").withColumnRenamed("item", "gram")
+    never = F.create_map(*[F.lit(x) for pair in profile.unseen.items() for x in pair])
+    return long.filter(F.col("score") > F.element_at(never, F.col("language")))
 
 
 @query(
@@ -184,7 +179,7 @@ def phrase_document_frequency(spark, sf):
     return keyphrases.phrase_stats(keyphrases.candidates(views.posts_base(spark, sf)))
 
 
-def _stored(df):
+def stored_phrases(df):
     """``post_id, rank, keyword, score`` read back from stored keyword JSON."""
     pairs = F.posexplode_outer(F.from_json("keywords", "array<array<string>>")).alias("at", "kv")
     return df.select("post_id", pairs).select(
@@ -199,7 +194,7 @@ def _stored(df):
     "SELECT b.post_id, rank, keyword, score FROM posts_base b LEFT JOIN phrases_all USING (post_id)", "phrases_all"
 )
 def keywords_stored(spark, sf):
-    return _stored(keyphrases.keywords(views.posts_base(spark, sf)))
+    return stored_phrases(keyphrases.keywords(views.posts_base(spark, sf)))
 
 
 @query("SELECT post_id, rank, keyword FROM phrases_legacy", "phrases_legacy")
@@ -220,7 +215,7 @@ TAGS = "post_id, did, language, sfw, sentiment_label, sentiment_score"
 def enrich_chain(spark, sf):
     done = enrich_posts(views.posts_base(spark, sf).drop("language"), resources(spark, sf))
     done = stage(done, "enriched")
-    return done.select(*TAGS.split(", ")).join(_stored(done), "post_id")
+    return done.select(*TAGS.split(", ")).join(stored_phrases(done), "post_id")
 
 
 @query(

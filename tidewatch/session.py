@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scope = threading.local()
+
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -49,7 +52,12 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/tidewatch/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; removed with the enclosing ``temporary_stages``, if there is one."""
+    folder = f"{staging_root(spark)}/tidewatch/{label}-{uuid.uuid4().hex}"
+    open_scope = getattr(_scope, "folders", None)
+    if open_scope is not None:
+        open_scope.append(folder)
+    return folder
 
 
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -69,11 +77,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def staging(spark: SparkSession, label: str):
-    """Yields a ``stage``-like function whose tables are removed when the block ends."""
-    folder = new_folder(spark, label)
-    names = iter(range(1_000_000))
+def temporary_stages(spark: SparkSession):
+    """Tables staged by this thread inside the block are removed when it ends.
+
+    For work that is finished inside the block, such as the writing of a micro-batch.
+    """
+    outer, _scope.folders = getattr(_scope, "folders", None), []
     try:
-        yield lambda df: stage(df, label, f"{folder}/{next(names)}")
+        yield
     finally:
-        remove_folder(spark, folder)
+        for folder in _scope.folders:
+            remove_folder(spark, folder)
+        _scope.folders = outer

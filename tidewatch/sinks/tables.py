@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewatch.session import staging
+from tidewatch.session import stage, temporary_stages
+
+# Most writers, and so most files, of one partition of an upserted table.
+WRITERS = 64
 
 
 def append(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Sequence[str] = (), **options: str) -> None:
@@ -51,14 +54,14 @@ def upsert_table(new: DataFrame, path: str, keys: Sequence[str], partition_by: s
     ``partition_by`` has to be a function of the keys.
     """
     spark = new.sparkSession
-    with staging(spark, "upsert") as keep:
-        rows = keep(new)
+    with temporary_stages(spark):
+        rows = stage(new, "upsert")
         old = existing(spark, path, rows.schema)
         if old is not None:
             touched = rows.select(partition_by).distinct()
-            rows = keep(upsert(old.join(touched, partition_by, "left_semi"), rows, keys))
+            rows = stage(upsert(old.join(touched, partition_by, "left_semi"), rows, keys), "upsert")
         # Rows go to writers by partition and by key, so a hot partition has many writers.
-        spread = F.pmod(F.xxhash64(*keys), F.lit(64))
+        spread = F.pmod(F.xxhash64(*keys), F.lit(WRITERS))
         (
             rows.repartition(F.col(partition_by), spread)
             .write.mode("overwrite")

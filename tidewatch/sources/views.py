@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.constants import POST_TYPE
 from tidewatch.functions.payload import message_json
-from tidewatch.sources.tables import read_table
+from tidewatch.sources.tables import read_table, spread
 
 # The files hold zone-less microseconds; read as instants in UTC they can be pushed into the scan.
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -20,7 +20,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/documents.parquet", schema=DOCUMENTS)
+    return spread(read_table(spark, f"{sf_dir}/documents.parquet", schema=DOCUMENTS), "doc_id")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions.times import Moment
 from tidewatch.operators.clean import clean_messages
+from tidewatch.session import temporary_stages
 
 
 def run_enrichment(
@@ -28,9 +29,9 @@ def run_enrichment(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enrich(clean_messages(batch, as_of, **cleaning)).write.mode("overwrite").parquet(
-            f"{target}/batch_id={batch_id}"
-        )
+        with temporary_stages(batch.sparkSession):
+            posts = enrich(clean_messages(batch, as_of, **cleaning))
+            posts.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     writer = messages.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()

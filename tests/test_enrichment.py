@@ -151,10 +151,12 @@ def test_profile_can_be_stored(docs, spark, tmp_path):
     assert (loaded.languages, loaded.unseen) == (kept.languages, kept.unseen)
 
 
-def test_sfw_by_list_and_by_table(rows):
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
+def test_sfw_by_list_and_by_table(rows, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", broadcast_rows)
     df = rows([(1, "You IDIOT!"), (2, "idiotic plan"), (3, None), (4, ""), (5, "fine")], "post_id int, text string")
     listed = {r.post_id: r.sfw for r in safety.flag_sfw(df).collect()}
-    words = stage(rows([(w,) for w in constants.UNSAFE_WORDS], "w string"), "words")
+    words = rows([(w,) for w in constants.UNSAFE_WORDS], "w string")
     joined = {r.post_id: r.sfw for r in safety.flag_sfw(df, words).collect()}
     assert listed == joined == {1: False, 2: True, 3: True, 4: True, 5: True}
 

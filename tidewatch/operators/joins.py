@@ -28,11 +28,6 @@ def is_small(table: DataFrame) -> bool:
     return (table.agg(F.sum(size)).first()[0] or 0) <= MAX_BROADCAST_BYTES
 
 
-def broadcast_if_small(table: DataFrame) -> DataFrame:
-    """A broadcast hint for a small written table; a bigger one is left to a shuffled join."""
-    return F.broadcast(table) if is_small(table) else table
-
-
 def key_weights(big: DataFrame, key: str, weight: str = "_rows") -> DataFrame:
     """Rows per key, summed on the map side first."""
     return big.groupBy(key).agg(F.count("*").alias(weight))

@@ -17,7 +17,9 @@ def keyword_rows(posts: DataFrame, *keep: str) -> DataFrame:
 
     Null, empty and malformed keyword text gives no row; neither do null names nor names over the limit.
     """
-    once = posts.select(*keep, F.inline(counted(stored_keywords(F.col("keywords")))))
+    # The names get a column of their own, or the JSON would be parsed again for every name.
+    named = posts.select(*keep, stored_keywords(F.col("keywords")).alias("_names"))
+    once = named.select(*keep, F.inline(counted(F.col("_names"))))
     return once.withColumnRenamed("name", "keyword").filter(F.length("keyword") <= MAX_KEYWORD_LENGTH)
 
 

@@ -153,7 +153,7 @@ def flag_sfw(spark, sf):
 def flag_sfw_by_table(spark, sf):
     """Posts that use any word of a word table."""
     listed = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.explode(tokens(F.col("text"))).alias("word"))
-    return safety.flag_sfw(views.posts_base(spark, sf), stage(listed.distinct(), "words")).select("post_id", "sfw")
+    return safety.flag_sfw(views.posts_base(spark, sf), listed).select("post_id", "sfw")
 
 
 @query(

@@ -13,6 +13,8 @@ from tidewatch.session import stage, temporary_stages
 
 # Most writers, and so most files, of one partition of an upserted table.
 WRITERS = 64
+# Most partitions named one by one in a scan filter.
+MAX_PRUNED = 1_000
 
 
 def append(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Sequence[str] = (), **options: str) -> None:
@@ -46,6 +48,15 @@ def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame |
         raise
 
 
+def _touched(old: DataFrame, rows: DataFrame, partition_by: str) -> DataFrame:
+    """The partitions of ``old`` that occur in ``rows``: a pruned scan for a few of them, a join for many."""
+    values = rows.select(partition_by).distinct()
+    few = [r[0] for r in values.limit(MAX_PRUNED + 1).collect()]
+    if len(few) > MAX_PRUNED:
+        return old.join(values, partition_by, "left_semi")
+    return old.filter(F.col(partition_by).isin(few))
+
+
 def upsert_table(new: DataFrame, path: str, keys: Sequence[str], partition_by: str) -> None:
     """Upsert into a Parquet table, rewriting only the partitions that ``new`` touches.
 
@@ -58,8 +69,7 @@ def upsert_table(new: DataFrame, path: str, keys: Sequence[str], partition_by: s
         rows = stage(new, "upsert")
         old = existing(spark, path, rows.schema)
         if old is not None:
-            touched = rows.select(partition_by).distinct()
-            rows = stage(upsert(old.join(touched, partition_by, "left_semi"), rows, keys), "upsert")
+            rows = stage(upsert(_touched(old, rows, partition_by), rows, keys), "upsert")
         # Rows go to writers by partition and by key, so a hot partition has many writers.
         spread = F.pmod(F.xxhash64(*keys), F.lit(WRITERS))
         (

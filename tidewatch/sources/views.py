@@ -66,7 +66,7 @@ def event_posts(ev: DataFrame) -> DataFrame:
 
 def posts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One enriched post without text per event."""
-    return event_posts(events(spark, sf_dir))
+    return event_posts(spread(events(spark, sf_dir), "event_id"))
 
 
 def created_at_text(ts: Column, n: Column) -> Column:

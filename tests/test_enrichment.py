@@ -177,7 +177,7 @@ def test_sentiment_scores(rows):
     df = rows(data, "post_id int, text string")
     got = {r.post_id: (r.sentiment_label, r.sentiment_score) for r in sentiment.score_sentiment(df).collect()}
     assert got == {
-        1: ("Positive", 0.6), 2: ("Negative", 0.75), 3: ("Neutral", round(1 / 3, 6)), 4: ("Neutral", 1.0), 5: ("Neutral", 1.0),
+        1: ("Positive", 0.6), 2: ("Negative", 0.75), 3: ("Neutral", 1 / 3), 4: ("Neutral", 1.0), 5: ("Neutral", 1.0),
     }
 
 

@@ -67,8 +67,7 @@ view(
     "tagged",
     f"""SELECT post_id, did, created_at, text, language, sfw,
                CASE WHEN p > n THEN 'Positive' WHEN n > p THEN 'Negative' ELSE 'Neutral' END AS sentiment_label,
-               round(CASE WHEN p = n THEN 1 / (p + n + 1) ELSE (greatest(p, n) + 1) / (p + n + 2) END, 6)
-                   AS sentiment_score
+               CASE WHEN p = n THEN 1 / (p + n + 1) ELSE (greatest(p, n) + 1) / (p + n + 2) END AS sentiment_score
         FROM (SELECT post_id, did, created_at, text, coalesce(f.language, 'unknown') AS language,
                      NOT list_has_any({TOKENS}, [{sql_list(constants.UNSAFE_WORDS)}]) AS sfw,
                      len(list_filter({TOKENS}, lambda x: x IN ({sql_list(POSITIVE)}))) AS p,
@@ -158,7 +157,7 @@ def flag_sfw_by_table(spark, sf):
 
 @query(
     f"""SELECT post_id, CASE WHEN p > n THEN 'Positive' WHEN n > p THEN 'Negative' ELSE 'Neutral' END AS sentiment_label,
-               round(CASE WHEN p = n THEN 1 / (p + n + 1) ELSE (greatest(p, n) + 1) / (p + n + 2) END, 6) AS sentiment_score
+               CASE WHEN p = n THEN 1 / (p + n + 1) ELSE (greatest(p, n) + 1) / (p + n + 2) END AS sentiment_score
         FROM (SELECT post_id, len(list_filter({TOKENS}, lambda x: x IN ({sql_list(POSITIVE)}))) AS p,
                      len(list_filter({TOKENS}, lambda x: x IN ({sql_list(NEGATIVE)}))) AS n FROM posts_base)""",
     "posts_base",
@@ -176,7 +175,7 @@ def keyphrases_ranked(spark, sf):
 
 @query("SELECT phrase, count(*) AS df FROM phrases_all_tf GROUP BY phrase", "phrases_all_tf")
 def phrase_document_frequency(spark, sf):
-    return keyphrases.phrase_stats(keyphrases.candidates(views.posts_base(spark, sf)))
+    return keyphrases.phrase_stats(views.posts_base(spark, sf))
 
 
 def stored_phrases(df):

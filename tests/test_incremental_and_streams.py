@@ -1,6 +1,7 @@
 """Incremental loads, sources, staging, and streams against the batch."""
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tidewatch.operators import clean, incremental, language, trends
 from tidewatch.plans.enrichment import Resources
 from tidewatch.plans.warehouse import load_increment
 from tidewatch.schemas import KEYWORD_TRENDS, KEYWORDS, MESSAGE
+from tidewatch.sinks import publish, publish_stream, to_messages, upsert_database
 from tidewatch.sinks.tables import existing
 from tidewatch.sources import read_message_stream, read_table, views
 from tidewatch.sources.tables import jdbc_options, spread
@@ -102,7 +104,7 @@ def test_stream_equals_batch_over_a_restart(spark, sf, tmp_path):
 
     def drain():
         stream = read_message_stream(spark, "parquet", source, 1, schema=schema)
-        query = run_enrichment(stream, clean.drop_empty, target, checkpoint, as_of="2024-01-02 12:00:00", trigger=DRAIN)
+        query = run_enrichment(stream, None, target, checkpoint, as_of="2024-01-02 12:00:00", trigger=DRAIN)
         query.awaitTermination()
 
     write_messages(spark, sf, source, 0, 3)
@@ -155,5 +157,46 @@ def test_kafka_options_are_passed_on(spark):
         read_message_stream(spark, starting="earliest", max_per_trigger=None, **{"kafka.bootstrap.servers": "b:9092"})
 
 
+def test_database_upsert_sends_every_row_once(rows, tmp_path):
+    class FileConnection:
+        """Stands in for a database: every transaction becomes a file."""
+
+        def __init__(self, folder):
+            self.folder, self.pending = folder, []
+
+        def cursor(self):
+            return self
+
+        def executemany(self, sql, data):
+            self.pending.append([sql, [[str(v) for v in row] for row in data]])
+
+        def commit(self):
+            (self.folder / f"{uuid.uuid4().hex}.json").write_text(json.dumps(self.pending))
+            self.pending = []
+
+        def close(self):
+            assert not self.pending
+
+    df = rows([(f"k{i}", i) for i in range(50)], "keyword string, post_count int")
+    upsert_database(df, lambda: FileConnection(tmp_path), "keyword_trends", ["keyword"], writers=3, batch_size=7)
+    sent = [entry for f in tmp_path.glob("*.json") for entry in json.loads(f.read_text())]
+    assert {sql for sql, _ in sent} == {
+        "INSERT INTO keyword_trends (keyword, post_count) VALUES (%s, %s) "
+        "ON DUPLICATE KEY UPDATE post_count = VALUES(post_count)"
+    }
+    assert all(len(data) <= 7 for _, data in sent)
+    assert sorted(tuple(r) for _, data in sent for r in data) == sorted((f"k{i}", str(i)) for i in range(50))
+
+
+def test_published_messages_can_be_read_back(spark, rows, tmp_path):
+    posts = rows([("a", "t", "x"), ("b", None, "y")], "did string, createdAt string, text string")
+    publish(to_messages(posts), str(tmp_path / "batch"), "text")
+    stream = spark.readStream.schema("value string").text(str(tmp_path / "batch"))
+    again = to_messages(clean.parse_messages(stream))
+    publish_stream(again, str(tmp_path / "c"), str(tmp_path / "stream"), "text", DRAIN).awaitTermination()
+    got = clean.parse_messages(spark.read.text(str(tmp_path / "stream")))
+    assert sorted(map(str, got.collect())) == sorted(map(str, posts.collect()))
+
+
 def test_message_schema_matches_payload():
     assert MESSAGE.fieldNames() == ["did", "createdAt", "text"]

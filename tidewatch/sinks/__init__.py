@@ -1,6 +1,7 @@
 """Append, upsert and message sinks."""
 
-from tidewatch.sinks.messages import to_messages
+from tidewatch.sinks.database import upsert_database
+from tidewatch.sinks.messages import publish, publish_stream, to_messages
 from tidewatch.sinks.tables import append, upsert, upsert_table
 
-__all__ = ["append", "to_messages", "upsert", "upsert_table"]
+__all__ = ["append", "publish", "publish_stream", "to_messages", "upsert", "upsert_database", "upsert_table"]

@@ -14,7 +14,7 @@ from tidewatch.session import temporary_stages
 
 def run_enrichment(
     messages: DataFrame,
-    enrich: Callable[[DataFrame], DataFrame],
+    enrich: Callable[[DataFrame], DataFrame] | None,
     target: str,
     checkpoint: str,
     as_of: Moment | None = None,
@@ -25,13 +25,14 @@ def run_enrichment(
 
     A batch is written to its own folder, replacing what an interrupted attempt left there, so a
     restart from ``checkpoint`` neither loses nor repeats posts. ``enrich`` sees posts with a
-    ``post_key`` and returns what is stored.
+    ``post_key`` and returns what is stored; ``None`` stores the cleaned posts, for a later batch load.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with temporary_stages(batch.sparkSession):
-            posts = enrich(clean_messages(batch, as_of, **cleaning))
-            posts.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            posts = clean_messages(batch, as_of, **cleaning)
+            stored = posts if enrich is None else enrich(posts)
+            stored.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     writer = messages.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()

@@ -82,6 +82,16 @@ def test_spread_only_where_tasks_are_few(spark, sf):
     assert spread(many, "doc_id") is many
 
 
+def test_shuffles_are_sized_by_input(spark):
+    conf = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert session.size_shuffles(spark, 100 << 40) == 409_600
+        assert spark.conf.get(conf) == "409600"
+        assert session.size_shuffles(spark, 1) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.unset(conf)
+
+
 def test_staged_tables_are_removed_with_their_block(spark, tmp_path):
     import os
 

@@ -152,13 +152,18 @@ def test_upsert_replaces_adds_and_keeps(table):
     assert sorted(map(str, upsert(once, new, TREND_KEY).collect())) == sorted(map(str, once.collect()))
 
 
+def test_upsert_treats_null_keys_as_equal(table):
+    rows = table(trend("a", 1, label=None), trend("a", 2))
+    assert sorted(r.post_count for r in upsert(rows, rows, TREND_KEY).collect()) == [1, 2]
+
+
 def test_stored_trends_survive_reruns_and_keep_other_days(spark, posts, tmp_path):
     path = str(tmp_path / "trends")
     other = ("2025-01-02 00:00:00", "2025-01-03 00:00:00")
     df = posts(
         post(1, '[["a", 1], ["b", 1]]'), post(2, '[["a", 1]]'), post(3, '[["a", 1]]', at=datetime(2025, 1, 2, 3)),
     )
-    for period in (DAY, other, DAY):
+    for period in (("2024-01-01 00:00:00", "2024-01-02 00:00:00"), DAY, other, DAY):  # the first one is empty
         trend_job.run(df, path, *period)
     changed = posts(post(1, '[["a", 1]]'), post(4, '[["c", 1]]'))
     trend_job.run(changed, path, *DAY)

@@ -36,6 +36,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20) -> int:
+    """Start shuffles with enough partitions for ``input_bytes``; adaptive execution merges those that stay small.
+
+    It never splits a partition for its size alone, so a fixed small number would spill on a big input.
+    """
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +35,11 @@ def append(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Seque
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` with the rows of ``new`` put in place of rows with the same keys; other old rows stay.
 
-    Keys are unique on both sides and must not be null, as in a primary key.
+    Keys are unique on both sides; a null in a key equals another null, so a re-run adds no second row.
     """
-    return old.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
+    replaced = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return old.join(replaced, same, "left_anti").unionByName(new)
 
 
 def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch import session
-from tidewatch.llm import quality
+from tidewatch.llm import decontaminate, licenses, neardup, pieces, quality, secrets, sharding, substring, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,59 @@ FROM b
 """)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
+
+
+@query(f"""
+WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+places AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS nth
+    FROM (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i,
+                 unnest(list_transform(range(1, len(ws) - 18), lambda i: array_to_string(ws[i : i + 19], ' '))) AS g
+          FROM w WHERE len(ws) >= 20)),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM places, (SELECT unnest(range(20)) AS k) WHERE nth > 1),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t
+    FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_pieces", "piece_ids", "lossless"
+    )
+
+
+@query()
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))

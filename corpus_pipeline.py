@@ -1,4 +1,9 @@
-"""A training-data pipeline over ``documents``: rules, near copies, benchmark leaks, secrets, tokens."""
+"""A training-data pipeline over ``documents``: rules, near copies, benchmark leaks, secrets, tokens.
+
+Each stage gets what the one before kept and returns the columns of ``documents``; the last adds ``piece_ids``,
+``n_pieces`` and ``lossless``. Null texts and ids, repeated rows and extra columns are treated as the operators say: documents
+without words fail the rules, rows that share an id stay or go together, and other columns pass through.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch import session
-from tidewatch.llm import quality
+from tidewatch.llm import decontaminate, neardup, pieces, quality, secrets
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,9 +20,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near copies."""
+    return neardup.firsts(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of ``benchmark``."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked and ``n_chars`` counted again."""
+    return secrets.redact(docs)
+
+
+def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their pieces, which decode to the text."""
+    return pieces.encode(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_leaks", benchmark_leaks),
+    ("secret_scan", secret_scan),
+    ("sentence_pieces", sentence_pieces),
+]
 
-#: SQL can't express near copies by MinHash or segmentations, so the tests hold every stage against brute force.
+#: SQL can't express near copies, spans or segmentations in one query; the tests hold the rows against brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -64,9 +64,11 @@ def shingles(words: Column, size: int = SIZE) -> Column:
 
 def _min_hashes(shingles: Column, bands: int) -> Column:
     """``(band, value)`` pairs."""
-    return F.array(
-        *(F.struct(F.lit(b).alias("band"), F.array_min(F.transform(shingles, lambda h, b=b: F.xxhash64(h, F.lit(b)))).alias("value")) for b in range(bands))
-    )
+
+    def least(band: int) -> Column:
+        return F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, F.lit(band))))
+
+    return F.array(*(F.struct(F.lit(b).alias("band"), least(b).alias("value")) for b in range(bands)))
 
 
 def _templates(spark: SparkSession, notices: Sequence[tuple[str, str]], size: int) -> DataFrame:
@@ -121,7 +123,6 @@ def scan(
     cut = docs.select(F.col(key).alias("id"), words(F.col(text)).alias("words"))
     cut = cut.select("id", shingles(F.col("words"), size).alias("own"))
     cut = cut.select("id", "own", F.array_compact(F.transform("own", lambda h, i: F.when(hit(h), i))).alias("hits"))
-    cut = cut.filter(F.size("hits") > 0)
     spots = F.array_distinct(F.flatten(F.transform("hits", lambda p: F.flatten(F.array(*(
         F.array(F.struct(F.lit(s).alias("step"), F.floor(p / s).cast("int").alias("k")),
                 F.struct(F.lit(s).alias("step"), F.greatest(F.floor(p / s).cast("int") - 1, F.lit(0)).alias("k")))
@@ -129,8 +130,9 @@ def scan(
     ))))))
     cut = cut.select("id", "own", spots.alias("spots"))
     part = lambda s: F.struct(s["step"].alias("step"), (s["k"] * s["step"]).alias("at"), F.slice("own", s["k"] * s["step"] + 1, s["step"] * 2).alias("part"))
-    seen = cut.select("id", F.explode(F.transform("spots", part)).alias("w")).select("id", "w.step", "w.at", "w.part")
-    seen = seen.withColumn("b", F.explode(_min_hashes(F.col("part"), bands)))
+    # explode_outer: a filter on what the arrays hold would be pushed below them and make them once more for each word
+    seen = cut.select("id", F.explode_outer(F.transform("spots", part)).alias("w")).filter("w IS NOT NULL")
+    seen = seen.select("id", "w.step", "w.at", "w.part").withColumn("b", F.explode_outer(_min_hashes(F.col("part"), bands)))
 
     own_bands = templates.select("template", "step", "license", "need", F.col("own").alias("theirs"), F.explode(_min_hashes(F.col("own"), bands)).alias("b"))
     found = seen.join(F.broadcast(own_bands), ["step", "b"])  # bounded by MAX_SHINGLES

@@ -259,3 +259,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
             F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
         )
     )
+
+
+def firsts(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    gone = near_duplicates(docs, key, text, size).filter("NOT kept").select(key).distinct()
+    return docs.join(gone, key, "left_anti").select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch import session
-from tidewatch.llm import decontaminate, licenses, neardup, pieces, quality, secrets, sharding, substring, tokens
+from tidewatch.llm import decontaminate, html, licenses, neardup, pieces, quality, secrets, sharding, substring, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -114,6 +114,11 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))

@@ -25,59 +25,57 @@ BUCKET_MINUTES = 15
 # Sentiment labels in report order.
 SENTIMENT_LABELS = ("Positive", "Neutral", "Negative")
 
-# English function words, alphabetical.
+# English function words.
 ENGLISH_STOP_WORDS = (
-    "a", "about", "above", "after", "again", "against", "all", "am", "an", "and", "any", "are", "as", "at",
-    "be", "because", "been", "before", "being", "below", "between", "both", "but", "by",
-    "can", "did", "do", "does", "doing", "down", "during", "each", "few", "for", "from", "further",
-    "had", "has", "have", "he", "her", "here", "hers", "herself", "him", "himself", "his", "how",
-    "i", "if", "in", "into", "is", "it", "its", "itself", "just", "me", "more", "most", "my", "myself",
-    "no", "nor", "not", "now", "of", "off", "on", "once", "only", "or", "other", "our", "ours", "ourselves",
-    "out", "over", "own", "re", "same", "she", "should", "so", "some", "such",
-    "than", "that", "the", "their", "them", "themselves", "then", "there", "these", "they", "this", "those",
-    "through", "to", "too", "under", "until", "up", "very",
-    "was", "we", "were", "what", "when", "where", "which", "while", "who", "whom", "why", "will", "with",
-    "you", "your", "yours", "yourself", "yourselves",
+    "am", "can", "down", "from", "as", "be", "are", "too", "through", "does", "a", "but", "now", "some", "an", "we",
+    "below", "against", "here", "did", "how", "yourselves", "was", "above", "him", "it", "which", "himself", "its",
+    "most", "the", "re", "or", "while", "your", "if", "yours", "she", "her", "other", "any", "off", "few", "is", "of",
+    "there", "than", "why", "has", "so", "in", "only", "have", "itself", "for", "under", "own", "were", "those", "out",
+    "very", "until", "hers", "after", "up", "they", "their", "not", "doing", "no", "them", "where", "ourselves",
+    "themselves", "our", "on", "that", "nor", "ours", "at", "again", "same", "over", "just", "because", "who",
+    "before", "by", "more", "being", "had", "this", "with", "should", "what", "during", "herself", "and", "these",
+    "such", "further", "do", "yourself", "his", "into", "once", "each", "all", "then", "both", "when", "he", "me",
+    "whom", "i", "my", "you", "to", "myself", "about", "been", "will", "between",
 )
 
-# Network and link words that never count as keyphrases, alphabetical.
+# Network and link words that never count as keyphrases.
 NETWORK_STOP_WORDS = (
-    "bluesky", "bsky", "com", "exactly", "facebook", "love", "org", "sexy", "social", "twitch", "video", "videos",
-    "www", "youtube",
+    "bsky", "social", "bluesky", "sexy", "love", "youtube", "video", "videos", "twitch", "facebook", "exactly",
+    "www", "com", "org",
 )
 
 # Display names of language codes; other codes show as they are.
 LANGUAGE_NAMES = {
-    "af": "Afrikaans",
-    "ar": "Arabic",
-    "bg": "Bulgarian",
-    "cs": "Czech",
-    "da": "Danish",
-    "de": "German",
-    "el": "Greek",
     "en": "English",
     "es": "Spanish",
-    "fi": "Finnish",
     "fr": "French",
-    "hu": "Hungarian",
-    "id": "Indonesian",
-    "it": "Italian",
+    "de": "German",
     "ja": "Japanese",
     "ko": "Korean",
+    "zh": "Chinese",
+    "pt": "Portuguese",
+    "it": "Italian",
+    "ru": "Russian",
+    "ar": "Arabic",
+    "tr": "Turkish",
+    "pl": "Polish",
     "nl": "Dutch",
+    "sv": "Swedish",
+    "da": "Danish",
+    "fi": "Finnish",
     "no": "Norwegian",
-    "pl": "Polish",
-    "pt": "Portuguese",
+    "cs": "Czech",
+    "hu": "Hungarian",
     "ro": "Romanian",
-    "ru": "Russian",
     "sk": "Slovak",
-    "so": "Somali",
-    "sv": "Swedish",
+    "bg": "Bulgarian",
+    "el": "Greek",
     "th": "Thai",
-    "tr": "Turkish",
-    "unknown": "Unknown",
     "vi": "Vietnamese",
-    "zh": "Chinese",
+    "af": "Afrikaans",
+    "so": "Somali",
+    "id": "Indonesian",
+    "unknown": "Unknown",
 }
 # --- End of fixed values ----------------------------------------------------
 

@@ -3,6 +3,7 @@
 import json
 import math
 import re
+import uuid
 from collections import Counter
 
 import pandas as pd
@@ -54,11 +55,15 @@ def texts_frame(rows):
     return rows(list(TEXTS.items()), "post_id bigint, text string")
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_keyphrases_by_brute_force(rows, monkeypatch, broadcast_rows):
-    """The same phrases whether the frequencies are broadcast or shuffled around the hot ones."""
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(joins, "HOT_PARTS", 4)
+@pytest.fixture(params=["10m", "-1"])
+def broadcasts(spark, request):
+    """With and without broadcast joins."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keyphrases_by_brute_force(rows, broadcasts):
     stop = constants.STOP_WORDS
     want = brute_force_phrases({k: t or "" for k, t in TEXTS.items()}, 3, set(stop))
     got = {k: [] for k in TEXTS}
@@ -103,13 +108,11 @@ def test_keyword_json_escapes_and_reads_back(rows):
     assert json.loads(got[0]) == [['a "b" \\c', 0.5]] and got[1] == "[]" and got[2] is None
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_language_scores_by_brute_force(docs, profile, monkeypatch, broadcast_rows):
-    """Ready-made words, n-grams, and the shuffled way all give the plain naive Bayes answer."""
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", broadcast_rows)
+def test_language_scores_by_brute_force(docs, profile, broadcasts):
+    """Ready-made words and n-grams, broadcast or shuffled, give the plain naive Bayes answer."""
     scores = {}
     for r in profile.table.filter(F.col("kind") == language.GRAM).collect():
-        scores[r["item"]] = {c: r[c] for c in profile.languages}
+        scores[r["item"]] = r["scores"]
     sample = docs.filter(F.length("text") < 1500).select("post_id", "text")
     want = {}
     for r in sample.collect():
@@ -151,14 +154,14 @@ def test_profile_can_be_stored(docs, spark, tmp_path):
     assert (loaded.languages, loaded.unseen) == (kept.languages, kept.unseen)
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_sfw_by_list_and_by_table(rows, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", broadcast_rows)
+def test_sfw_by_list_and_by_table(rows, broadcasts, monkeypatch):
     df = rows([(1, "You IDIOT!"), (2, "idiotic plan"), (3, None), (4, ""), (5, "fine")], "post_id int, text string")
     listed = {r.post_id: r.sfw for r in safety.flag_sfw(df).collect()}
     words = rows([(w,) for w in constants.UNSAFE_WORDS], "w string")
     joined = {r.post_id: r.sfw for r in safety.flag_sfw(df, words).collect()}
-    assert listed == joined == {1: False, 2: True, 3: True, 4: True, 5: True}
+    monkeypatch.setattr(safety, "LITERAL_WORDS", 3)
+    long_list = {r.post_id: r.sfw for r in safety.flag_sfw(df).collect()}
+    assert listed == joined == long_list == {1: False, 2: True, 3: True, 4: True, 5: True}
 
 
 def test_sfw_against_labels(spark, docs):
@@ -198,11 +201,31 @@ def test_own_models(rows):
     assert {r.post_id: r.js for r in plain.collect()} == {1: "[abc]", 2: "[]"}
 
 
+def test_models_are_loaded_once_per_worker(spark, rows, tmp_path):
+    """Many tasks, few worker processes: a load leaves a file."""
+    df = rows([(i, "x") for i in range(200)], "post_id int, text string").repartition(40)
+
+    def load(folder=str(tmp_path)):
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        return lambda texts: texts
+
+    assert sentiment.score_with(df, load, "string").filter("scored = 'x'").count() == 200
+    assert 1 <= len(list(tmp_path.iterdir())) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_trained_classifier(rows):
-    data = [(f"sun joy light {i}", 1.0) for i in range(20)] + [(f"rain gloom dark {i}", 0.0) for i in range(20)]
+    data = [(f"sun joy light {i}", 1.0) for i in range(20)] + [(f"rain gloom dark {i}", 0.0) for i in range(21)]
     model = classifier.fit_text_classifier(rows(data, "text string, mood double"), "mood")
-    test = rows([("joy and sun",), ("gloom of rain",)], "text string")
-    assert [r.prediction for r in classifier.classify(test, model).collect()] == [1.0, 0.0]
+    test = rows([(1, "joy and sun"), (2, "gloom of rain"), (3, None)], "post_id int, text string")
+    assert {r.post_id: r.prediction for r in classifier.classify(test, model).collect()} == {1: "1.0", 2: "0.0", 3: "0.0"}
+
+
+def test_profiles_of_many_languages(rows):
+    data = [(f"lang{i}", f"word{chr(97 + i % 26)}{chr(97 + i // 26)} " * 3) for i in range(600)]
+    profile = language.fit_language_profile(rows(data, "language string, text string"))
+    assert len(profile.languages) == 600
+    got = language.detect_language(rows([(1, "wordcb"), (2, "wordzw")], "post_id int, text string"), profile)
+    assert {r.post_id: r.language for r in got.collect()} == {1: f"lang{2 + 26}", 2: f"lang{25 + 22 * 26}"}
 
 
 def test_semantic_keyphrases(docs):
@@ -213,10 +236,10 @@ def test_semantic_keyphrases(docs):
     assert -1.000001 <= low <= high <= 1.000001
 
 
-def test_semantic_vocabulary_is_checked(docs, monkeypatch):
-    monkeypatch.setattr(semantic, "MAX_VOCABULARY", 3)
-    with pytest.raises(ValueError, match="min_count"):
-        semantic.fit_word_vectors(docs)
+def test_repeated_keys_are_an_error(rows, profile):
+    df = rows([(1, "apple banana cherry"), (1, "apple banana cherry")], "post_id int, text string")
+    with pytest.raises(ValueError, match="unique"):
+        enrich_posts(df, Resources(profile))
 
 
 def test_chain(rows, profile, docs):
@@ -231,16 +254,18 @@ def test_chain(rows, profile, docs):
     assert legacy.agg(F.max(F.size("keywords")), F.min(F.size("keywords"))).first()[0] == 5
 
 
-def test_skewed_lookup_is_whole(rows, monkeypatch):
-    """A third of the rows under one key, joined by the hot way and by the plain way."""
-    monkeypatch.setattr(joins, "HOT_PARTS", 20)
+def test_wide_tables_are_not_broadcast(spark):
+    """The planner's own measure counts all columns: 200 doubles a row make a big table of 20,000 rows."""
+    wide = stage(spark.range(20_000).select(F.col("id").cast("string").alias("k"), F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.rand(1) + i).alias("v")), "wide")
+    big = spark.range(1000).select(F.col("id").cast("string").alias("k"), "id")
+    plan = joins.lookup(big, wide, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_skewed_lookup_is_whole(rows, broadcasts):
+    """A third of the rows under one key."""
     big = rows([(i, "hot" if i % 3 == 0 else f"k{i}") for i in range(900)], "i int, k string")
     table = stage(rows([("hot", 1), *[(f"k{i}", i) for i in range(0, 900, 2)]], "k string, v int"), "dim")
-    hot = table.join(joins.hot_keys(joins.key_weights(big, "k"), "_rows"), "k", "left_semi")
-    assert [r.k for r in hot.collect()] == ["hot"]
     for how in ("left", "inner"):
         want = sorted(map(str, big.join(table, "k", how).select("i", "k", "v").collect()))
-        assert sorted(map(str, joins.lookup(big, table, "k", hot, how).collect())) == want
-        monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
-        assert sorted(map(str, joins.lookup(big, table, "k", hot, how).collect())) == want
-        monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 1_000_000)
+        assert sorted(map(str, joins.lookup(big, table, "k", how).collect())) == want

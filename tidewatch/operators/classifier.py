@@ -1,25 +1,29 @@
-"""A trained text classifier from Spark's own library."""
+"""A trained text classifier: naive Bayes over tokens."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-FEATURES = 1 << 18
+from tidewatch.functions.text import tokens
+from tidewatch.operators.bayes import ITEM, PRIOR, UNSEEN, as_map, best_label, fit_scores, single
+from tidewatch.session import stage
 
 
-def fit_text_classifier(df: DataFrame, label_col: str, text: str = "text", features: int = FEATURES) -> PipelineModel:
-    """Tokens → hashed counts → naive Bayes. The model's size is classes × features, whatever the corpus."""
-    words = RegexTokenizer(
-        inputCol=text, outputCol="_words", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False, toLowercase=True
-    )
-    counts = HashingTF(inputCol="_words", outputCol="_features", numFeatures=features)
-    bayes = NaiveBayes(labelCol=label_col, featuresCol="_features", predictionCol="prediction")
-    return Pipeline(stages=[words, counts, bayes]).fit(df)
+def fit_text_classifier(df: DataFrame, label_col: str, text: str = "text", path: str | None = None) -> DataFrame:
+    """The scores of every token, written to shared storage; runs jobs when called. Labels become text."""
+    labelled = df.filter(F.col(label_col).isNotNull()).select(F.col(label_col).cast("string").alias("label"), tokens(F.col(text)).alias("t"))
+    counts = labelled.select("label", F.explode("t").alias("item")).groupBy("label", "item").agg(F.count("*").alias("n"))
+    documents = labelled.groupBy("label").agg(F.count("*").alias("n"))
+    return stage(fit_scores(stage(counts, "token-counts"), documents), "classifier", path)
 
 
-def classify(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Adds ``prediction``."""
-    return model.transform(df).drop("_words", "_features", "rawPrediction", "probability")
+def classify(df: DataFrame, model: DataFrame, key: str = "post_id", text: str = "text") -> DataFrame:
+    """Adds ``prediction``, a label; ``key`` must be unique. Texts without tokens take the label with the best prior."""
+    prior, unseen = single(model, PRIOR), single(model, UNSEEN)
+    rows = df.select(key, F.explode(tokens(F.col(text))).alias("item"))
+    known = model.filter(F.col("kind") == ITEM).select("item", "scores")
+    scores = F.coalesce("scores", as_map(unseen))
+    found = best_label(rows.join(known, "item", "left"), key, scores, "prediction", prior)
+    default = min(prior, key=lambda label: (-prior[label], label))
+    return df.drop("prediction").join(found, key, "left").withColumn("prediction", F.coalesce("prediction", F.lit(default)))

@@ -1,74 +1,15 @@
-"""Joins whose keys may be badly skewed, and size-checked broadcasts."""
+"""Joins with tables that have one row per key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import DataFrame
 
-# A key is hot when it owns more than one row in HOT_PARTS; so there are at most HOT_PARTS hot keys.
-HOT_PARTS = 2_000
 
+def lookup(big: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Add the columns of ``table`` (one row per ``key``) to the rows of ``big``, whose keys may be badly skewed.
 
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 64 << 20
-
-
-def is_small(table: DataFrame) -> bool:
-    """Whether a written table is safe to broadcast: few rows, and few bytes of text in them.
-
-    Counting rows reads file footers only; text is measured only where the rows are few.
+    No hint and no test of size: the planner broadcasts what statistics show to be small, at run time too, and adaptive
+    execution splits the tasks of hot keys on the side of ``big`` beyond that.
     """
-    if table.count() > MAX_BROADCAST_ROWS:
-        return False
-    texts = [f.name for f in table.schema.fields if isinstance(f.dataType, StringType)]
-    if not texts:
-        return True
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0).cast("bigint"))
-    return (table.agg(F.sum(size)).first()[0] or 0) <= MAX_BROADCAST_BYTES
-
-
-def key_weights(big: DataFrame, key: str, weight: str = "_rows") -> DataFrame:
-    """Rows per key, summed on the map side first."""
-    return big.groupBy(key).agg(F.count("*").alias(weight))
-
-
-def hot_keys(weights: DataFrame, weight: str) -> DataFrame:
-    """The rows of a key → weight table that own more than 1/HOT_PARTS of the total weight."""
-    total = weights.agg(F.sum(weight)).scalar()
-    return weights.filter(F.col(weight) * HOT_PARTS > total)
-
-
-def lookup(big: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
-    """Add the columns of a written ``table`` (one row per text ``key``) to the rows of ``big``.
-
-    A small table is broadcast. Beyond that, ``hot`` comes in: a subset of ``table`` from ``hot_keys``,
-    by that rule never more than HOT_PARTS rows, is broadcast, and only the other keys meet ``table``
-    by shuffle. Rows already served are spread over all tasks by a hash of the row, so a key holding a
-    third of ``big`` loads no single task.
-    """
-    if is_small(table):
-        return big.join(F.broadcast(table), key, how).select(*big.columns, *[c for c in table.columns if c != key])
     values = [c for c in table.columns if c != key]
-
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select(F.col(key).alias(f"{name}_key"), F.struct(*values).alias(name))
-
-    near = big.join(F.broadcast(side(hot, "_hot")), F.col(key) == F.col("_hot_key"), "left")
-    elsewhere = F.concat(F.lit("\u0000"), F.hex(F.xxhash64(*big.columns)))
-    near = near.withColumn("_far_key", F.when(F.col("_hot_key").isNull(), F.col(key)).otherwise(elsewhere))
-    joined = near.join(side(table, "_cold"), F.col("_far_key") == F.col("_cold_key"), "left")
-    if how == "inner":
-        joined = joined.filter(F.col("_hot_key").isNotNull() | F.col("_cold_key").isNotNull())
-    found = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*big.columns, *[found[v].alias(v) for v in values])
-
-
-def largest(scores: dict[str, Column]) -> Column:
-    """Name of the greatest score; the alphabetically first name wins a tie."""
-    best = F.greatest(*scores.values()) if len(scores) > 1 else next(iter(scores.values()))
-    names = sorted(scores)
-    pick = F.when(scores[names[0]] == best, F.lit(names[0]))
-    for name in names[1:]:
-        pick = pick.when(scores[name] == best, F.lit(name))
-    return pick
+    return big.join(table, key, how).select(*big.columns, *values)

@@ -1,39 +1,47 @@
-"""Keyphrases ranked by closeness of meaning to the whole post."""
+"""Keyphrases ranked by closeness of meaning to the whole post.
+
+A word's base is a vector of signs taken from the bits of its MD5. Its vector is the sum of the bases of all words
+of all posts that have the word, so words of like company point the same way. The sums are whole numbers: neither the
+order of rows nor the number of tasks changes them, and nothing but rows of words is shuffled.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.constants import STOP_WORDS
-from tidewatch.operators.joins import hot_keys, key_weights, lookup
-from tidewatch.operators.keyphrases import candidates, with_words
+from tidewatch.operators.joins import lookup
+from tidewatch.operators.keyphrases import phrases_of, with_words
+from tidewatch.session import stage
+
+#: Length of the vectors, at most the 32 bits that are taken from a hash.
+SIZE = 32
+
 
-# The library keeps all word vectors in every worker, so the vocabulary has to be bounded.
-MAX_VOCABULARY = 2_000_000
+def _bits(word: Column) -> Column:
+    return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint")
 
 
 def fit_word_vectors(
-    df: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS, size: int = 32, min_count: int = 5,
-    iterations: int = 1, partitions: int | None = None, seed: int = 7,
-) -> Word2VecModel:
-    """Word vectors of the corpus. Too big a vocabulary is an error: raise ``min_count``."""
-    words = with_words(df.select(text), stop_words, text)
-    vocabulary = words.select(F.explode("_words").alias("w")).groupBy("w").count().filter(F.col("count") >= min_count)
-    if vocabulary.count() > MAX_VOCABULARY:
-        raise ValueError(f"more than {MAX_VOCABULARY} words occur {min_count} times; raise min_count")
-    return Word2Vec(
-        vectorSize=size, minCount=min_count, maxIter=iterations, seed=seed, inputCol="_words", outputCol="_v",
-        numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism,
-    ).fit(words)
+    df: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS, size: int = SIZE, min_count: int = 5,
+    path: str | None = None,
+) -> DataFrame:
+    """``word, v`` of every word of at least ``min_count`` posts, written to shared storage; runs a job when called."""
+    words = with_words(df.select(text), stop_words, text).select(F.array_distinct("_words").alias("_words"))
+    hashed = words.select("_words", F.transform("_words", _bits).alias("_b"))
 
+    def dimension(i: int) -> Column:
+        ones = F.aggregate("_b", F.lit(0).cast("bigint"), lambda s, b: s + F.shiftright(b, i).bitwiseAND(F.lit(1)))
+        return F.size("_b") - 2 * ones
 
-def _mean(prefix: str, size: int) -> Column:
-    return F.array(*[F.avg(F.col(prefix)[i]) for i in range(size)])
+    company = hashed.select("_words", *[dimension(i).alias(f"v{i}") for i in range(size)])
+    each = company.select(F.explode("_words").alias("word"), *[f"v{i}" for i in range(size)])
+    sums = each.groupBy("word").agg(F.count("*").alias("_n"), *[F.sum(f"v{i}").alias(f"v{i}") for i in range(size)])
+    vector = F.array(*[F.col(f"v{i}").cast("double") for i in range(size)])
+    return stage(sums.filter(F.col("_n") >= min_count).select("word", vector.alias("v")), "word-vectors", path)
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -41,30 +49,29 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def keywords_semantic(
-    df: DataFrame, model: Word2VecModel, n: int = 3, key: str = "post_id", text: str = "text",
+    df: DataFrame, vectors: DataFrame, n: int = 3, key: str = "post_id", text: str = "text",
     ngram: tuple[int, int] = (1, 2), stop_words: Sequence[str] = STOP_WORDS,
 ) -> DataFrame:
-    """``key, rank, keyword, score``: phrases by cosine between their mean vector and the post's.
+    """``key, rank, keyword, score``: phrases by cosine between their vector and the post's, both sums over words.
 
-    A phrase counts with the words the model knows; phrases without any are left out.
+    A phrase counts with the words that have vectors; phrases without any are left out. Each different word of a post
+    meets its vector once; phrases are made and ranked inside the post's row. ``key`` must be unique.
     """
-    vectors = model.getVectors().select("word", vector_to_array("vector").alias("v"))
-    size = model.getVectorSize()
-    phrases = candidates(df, key, text, ngram, stop_words)
-    words = phrases.select(key, "phrase", "tf", F.explode(F.split("phrase", " ")).alias("word"))
-    hot = hot_keys(key_weights(words, "word"), "_rows")
-    known = lookup(words, vectors, "word", vectors.join(hot, "word", "left_semi"), "inner")
-
-    phrase_vectors = known.groupBy(key, "phrase").agg(_mean("v", size).alias("pv"))
-    single = known.filter(F.col("phrase") == F.col("word"))
-    weight = F.sum("tf")
-    post_vectors = single.groupBy(key).agg(
-        F.array(*[F.sum(F.col("v")[i] * F.col("tf")) / weight for i in range(size)]).alias("dv")
-    )
-    pv, dv = F.col("pv"), F.col("dv")
-    cosine = F.try_divide(_dot(pv, dv), F.sqrt(_dot(pv, pv) * _dot(dv, dv)))
-    scored = phrase_vectors.join(post_vectors, key).select(
-        key, F.col("phrase").alias("keyword"), F.round(cosine, 6).alias("score")
-    )
-    best = Window.partitionBy(key).orderBy(F.desc("score"), "keyword")
-    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
+    posts = with_words(df.select(key, text).repartition(key), stop_words, text).select(key, "_words")
+    used = posts.select(key, F.explode(F.array_distinct("_words")).alias("word"))
+    known = lookup(used, vectors, "word", "inner")
+    known = known.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "v"))).alias("_known"))
+
+    def total(words: Column) -> Column:
+        """The sum of the words' vectors, and null without any."""
+        found = F.filter(F.transform(words, lambda w: F.try_element_at("_known", w)), lambda v: v.isNotNull())
+        start = F.get(found, F.lit(0))
+        return F.aggregate(F.slice(found, 2, 1 << 30), start, lambda s, v: F.zip_with(s, v, lambda x, y: x + y))
+
+    whole = posts.join(known, key).select(key, "_known", phrases_of(F.col("_words"), ngram).alias("_p"), total(F.col("_words")).alias("_d"))
+    pairs = F.transform(F.array_distinct("_p"), lambda p: F.struct(p.alias("keyword"), total(F.split(p, " ")).alias("v")))
+    whole = whole.select(key, "_d", F.filter(pairs, lambda p: p["v"].isNotNull()).alias("_p"))
+    cosine = lambda v: F.round(F.try_divide(_dot(v, F.col("_d")), F.sqrt(_dot(v, v) * _dot(F.col("_d"), F.col("_d")))), 6)
+    scored = F.transform("_p", lambda p: F.struct((-F.coalesce(cosine(p["v"]), F.lit(-2.0))).alias("s"), p["keyword"].alias("keyword")))
+    best = whole.select(key, F.posexplode(F.slice(F.array_sort(scored), 1, n)).alias("at", "p"))
+    return best.select(key, (F.col("at") + 1).alias("rank"), "p.keyword", F.nullif(-F.col("p.s"), F.lit(-2.0)).alias("score"))

@@ -12,7 +12,7 @@ def read_message_stream(
     spark: SparkSession,
     fmt: str = "kafka",
     path_or_topic: str = POST_TOPIC,
-    max_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
+    max_per_trigger: int | None = None,
     starting: str = "latest",
     schema: StructType | str = "value string",
     **options: str,
@@ -20,14 +20,16 @@ def read_message_stream(
     """An unbounded frame with a ``value`` column.
 
     ``kafka`` takes a topic, a start position (``latest`` or ``earliest``) and an offset cap per
-    trigger (``None`` lifts it); it needs the connector package on the cluster and
-    ``kafka.bootstrap.servers`` among ``options``. Any file format takes a folder and caps files instead.
+    trigger (MAX_OFFSETS_PER_TRIGGER by default, 0 lifts it); it needs the connector package on the cluster and
+    ``kafka.bootstrap.servers`` among ``options``. Any file format takes a folder and caps files instead, by default
+    not at all.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = reader.option("subscribe", path_or_topic).option("startingOffsets", starting)
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+        offsets = MAX_OFFSETS_PER_TRIGGER if max_per_trigger is None else max_per_trigger
+        if offsets:
+            reader = reader.option("maxOffsetsPerTrigger", offsets)
         return reader.options(**options).load()
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)

@@ -44,14 +44,3 @@ def read_table(
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load() if fmt == "jdbc" else reader.load(name)
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Hash the rows of a scan over all cores where it has fewer tasks than there are cores.
-
-    One big row group is one task, too few for work that is bound by the processor. A scan with enough
-    tasks, the usual case on a cluster, comes back as it is. Only for plain scans: counting the tasks
-    of a plan with shuffles would run them.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.constants import POST_TYPE
+from tidewatch.constants import CREATED_AT_PATTERNS, POST_TYPE
 from tidewatch.functions.payload import message_json
-from tidewatch.sources.tables import read_table, spread
+from tidewatch.sources.tables import read_table
 
 # The files hold zone-less microseconds; read as instants in UTC they can be pushed into the scan.
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -20,7 +20,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, f"{sf_dir}/documents.parquet", schema=DOCUMENTS), "doc_id")
+    return read_table(spark, f"{sf_dir}/documents.parquet", schema=DOCUMENTS)
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,15 +66,15 @@ def event_posts(ev: DataFrame) -> DataFrame:
 
 def posts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One enriched post without text per event."""
-    return event_posts(spread(events(spark, sf_dir), "event_id"))
+    return event_posts(events(spark, sf_dir))
 
 
 def created_at_text(ts: Column, n: Column) -> Column:
     """The same instant in one of the three accepted layouts."""
     return (
-        F.when(n % 3 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-        .when(n % 3 == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        F.when(n % 3 == 0, F.date_format(ts, CREATED_AT_PATTERNS[0]))
+        .when(n % 3 == 1, F.date_format(ts, CREATED_AT_PATTERNS[1]))
+        .otherwise(F.date_format(ts, CREATED_AT_PATTERNS[2]))
     )
 
 

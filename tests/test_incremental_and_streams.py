@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from tidewatch import session
 from tidewatch.operators import clean, incremental, language, trends
-from tidewatch.plans.enrichment import Resources
+from tidewatch.plans import load_job, trend_job
+from tidewatch.plans.enrichment import Resources, enrich_posts
 from tidewatch.plans.warehouse import load_increment
-from tidewatch.schemas import KEYWORD_TRENDS, KEYWORDS, MESSAGE
-from tidewatch.sinks import publish, publish_stream, to_messages, upsert_database
+from tidewatch.schemas import KEYWORD_TRENDS, KEYWORDS, MESSAGE, STREAMED_POSTS
+from tidewatch.sinks import publish, publish_stream, to_messages, upsert_database, upsert_table, versions
 from tidewatch.sinks.tables import existing
 from tidewatch.sources import read_message_stream, read_table, views
-from tidewatch.sources.tables import jdbc_options, spread
+from tidewatch.sources.tables import jdbc_options
 from tidewatch.streaming import run_enrichment, run_trends
 
 DRAIN = {"availableNow": True}
@@ -75,13 +76,6 @@ def test_range_filter_reaches_the_scan(spark, sf):
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
-def test_spread_only_where_tasks_are_few(spark, sf):
-    scan = spark.read.parquet(f"{sf}/documents.parquet")
-    assert spread(scan, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = scan.repartition(64)
-    assert spread(many, "doc_id") is many
-
-
 def test_shuffles_are_sized_by_input(spark):
     conf = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:
@@ -130,6 +124,79 @@ def test_stream_equals_batch_over_a_restart(spark, sf, tmp_path):
     assert sorted(map(str, streamed.select(key).collect())) == sorted(map(str, batch.select(key).collect()))
 
 
+def test_repeated_messages_are_stored_once(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / d) for d in ("in", "out", "checkpoint"))
+    values = [(json.dumps({"did": "a", "createdAt": None, "text": t}),) for t in ("x", "x", "y")]
+    for _ in range(2):
+        spark.createDataFrame(values, "value string").coalesce(1).write.mode("append").parquet(source)
+    seen = []
+
+    def enrich(posts):
+        seen.append(posts.count())
+        return posts
+
+    stream = read_message_stream(spark, "parquet", source, 1)
+    run_enrichment(stream, enrich, target, checkpoint, as_of="2024-01-02 12:00:00", trigger=DRAIN).awaitTermination()
+    stored = spark.read.parquet(target)
+    assert sorted(r.text for r in stored.collect()) == ["x", "y"] and sorted(seen)[-1] == 2
+    assert {"post_uuid", "post_date", "post_hour", "batch_id"} <= set(stored.columns)
+
+
+def test_streamed_posts_reach_the_tables_and_the_trends(spark, rows, tmp_path):
+    """Messages → staged posts → posts, keywords, links, twice; and → trends, by the jobs' own functions."""
+    source, raw, tables, trend_path = (str(tmp_path / d) for d in ("in", "raw", "tables", "trends"))
+    texts = ["good apple pie", "bad apple pie", "good pear"]
+    values = [(json.dumps({"did": "a", "createdAt": None, "text": t}),) for t in texts]
+    spark.createDataFrame(values, "value string").write.parquet(source)
+    stream = read_message_stream(spark, "parquet", source)
+    run_enrichment(stream, None, raw, str(tmp_path / "c"), as_of="2024-01-02 12:30:00", trigger=DRAIN).awaitTermination()
+    resources = Resources(language.fit_language_profile(rows([("en", t) for t in texts] * 3, "language string, text string")))
+    for _ in range(2):
+        load_job.run(spark.read.parquet(raw), tables, resources)
+    posts, words, links = (spark.read.parquet(f"{tables}/{t}") for t in ("posts", "keywords", "post_keywords"))
+    assert sorted(r.post_id for r in posts.collect()) == [1, 2, 3] and words.count() == words.select("keyword_name").distinct().count()
+    named = links.join(words, "keyword_id").join(posts, "post_id")
+    assert {r.text for r in named.filter("keyword_name = 'apple'").collect()} == set(texts[:2])
+
+    enriched = str(tmp_path / "enriched")
+    run_enrichment(
+        stream, lambda p: enrich_posts(p, resources, "post_key"), enriched, str(tmp_path / "c2"),
+        as_of="2024-01-02 12:30:00", trigger=DRAIN,
+    ).awaitTermination()
+    at = ["--start", "2024-01-02 12:00:00", "--end", "2024-01-02 13:00:00", "--posts", enriched, "--trends", trend_path]
+    for _ in range(2):
+        trend_job.main(at)
+    got = {(r.keyword, r.sentiment_label): r.post_count for r in existing(spark, trend_path, KEYWORD_TRENDS).collect()}
+    assert got["apple", "Positive"] == got["apple", "Negative"] == 1 and got["pear", "Positive"] == 1
+    scan = trend_job.in_days(read_table(spark, enriched, schema=STREAMED_POSTS), *at[1:4:2])
+    assert "PartitionFilters: [isnotnull(post_date" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_failed_upsert_changes_nothing(spark, rows, tmp_path, monkeypatch):
+    """A stop before the manifest is switched leaves the old table; the next call completes it."""
+    path, schema = str(tmp_path / "t"), "k string, part string, n int"
+    old, new = rows([("a", "p1", 1), ("b", "p1", 1), ("c", "p2", 1)], schema), rows([("a", "p1", 2)], schema)
+    upsert_table(old, path, ["k"], "part")
+
+    def read():
+        return {r.k: r.n for r in existing(spark, path, old.schema).collect()}
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "switch", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            upsert_table(new, path, ["k"], "part")
+    assert read() == {"a": 1, "b": 1, "c": 1}
+    upsert_table(new, path, ["k"], "part")
+    assert read() == {"a": 2, "b": 1, "c": 1}
+    with pytest.raises(RuntimeError, match="someone else"):
+        versions.switch(spark, path, versions.latest(spark, path)[0], {})
+    versions.vacuum(spark, path)
+    assert read() == {"a": 2, "b": 1, "c": 1} and len(list((tmp_path / "t").glob("v-*"))) == 2
+
+
 def test_redone_batch_is_stored_once(spark, tmp_path):
     """A batch whose commit record is lost runs again and replaces its own folder."""
     source, target, checkpoint = (tmp_path / d for d in ("in", "out", "checkpoint"))
@@ -164,7 +231,7 @@ def test_trend_stream_counts_a_repeated_post_once(spark, sf, tmp_path):
 def test_kafka_options_are_passed_on(spark):
     """The connector is not installed here, so only its absence can be seen."""
     with pytest.raises(Exception, match="(?i)kafka"):
-        read_message_stream(spark, starting="earliest", max_per_trigger=None, **{"kafka.bootstrap.servers": "b:9092"})
+        read_message_stream(spark, starting="earliest", max_per_trigger=0, **{"kafka.bootstrap.servers": "b:9092"})
 
 
 def test_database_upsert_sends_every_row_once(rows, tmp_path):

@@ -8,34 +8,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import session
-from tidewatch.functions.times import Moment
+from tidewatch.functions.times import Moment, moment
 from tidewatch.operators.trends import keyword_trends
-from tidewatch.schemas import POSTS, TREND_KEY
+from tidewatch.schemas import POST_DATE, STREAMED_POSTS, TREND_KEY
 from tidewatch.sinks.tables import upsert_table
 from tidewatch.sources.tables import read_table
 
-PARTITION = "period_date"
+PARTITION = "period_hour"
 
 
 def store_trends(trends: DataFrame, path: str) -> None:
-    """Upsert trend rows into the trend table, one folder per day of ``period_start``."""
-    upsert_table(trends.withColumn(PARTITION, F.to_date("period_start")), path, TREND_KEY, PARTITION)
+    """Upsert trend rows into the trend table, one folder per hour of ``period_start``."""
+    hour = F.date_format("period_start", "yyyy-MM-dd-HH")
+    upsert_table(trends.withColumn(PARTITION, hour), path, TREND_KEY, PARTITION)
+
+
+def in_days(posts: DataFrame, start: Moment, end: Moment) -> DataFrame:
+    """Leaves out the folders of other days, where the table is laid out by day."""
+    if POST_DATE not in posts.columns:
+        return posts
+    return posts.filter(F.col(POST_DATE).between(F.to_date(moment(start)), F.to_date(moment(end))))
 
 
 def run(posts: DataFrame, path: str, start: Moment, end: Moment) -> None:
-    """Trends of ``[start, end)`` into the trend table; a re-run replaces its own rows."""
-    store_trends(keyword_trends(posts, start, end), path)
+    """Trends of ``[start, end)`` into the trend table; a re-run replaces its own rows.
+
+    Posts are known by their id, or by their content key where a stream stored them, and may be repeated.
+    """
+    key = F.coalesce(F.col("post_id").cast("string"), F.col("post_uuid")) if "post_uuid" in posts.columns else F.col("post_id")
+    known = in_days(posts, start, end).withColumn("post_id", key)
+    store_trends(keyword_trends(known, start, end, unique_posts=False), path)
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--start", required=True, help="inclusive, 'YYYY-MM-DD HH:MM:SS' in UTC")
-    parser.add_argument("--end", required=True, help="exclusive, 'YYYY-MM-DD HH:MM:SS' in UTC")
-    parser.add_argument("--posts", required=True, help="path of the posts table")
-    parser.add_argument("--trends", required=True, help="path of the trend table")
+    parser.add_argument("--start", required=True, help="first moment of the period, 'YYYY-MM-DD HH:MM:SS' in UTC")
+    parser.add_argument("--end", required=True, help="first moment after the period")
+    parser.add_argument("--posts", required=True, help="where the posts are")
+    parser.add_argument("--trends", required=True, help="where the trend table is")
     args = parser.parse_args(argv)
     spark = session.build("keyword-trends")
-    run(read_table(spark, args.posts, schema=POSTS), args.trends, args.start, args.end)
+    run(read_table(spark, args.posts, schema=STREAMED_POSTS), args.trends, args.start, args.end)
 
 
 if __name__ == "__main__":

@@ -40,6 +40,10 @@ KEYWORD_TRENDS = _schema(
     avg_sentiment_score=T.DoubleType(),
     sentiment_label=T.StringType(),
 )
+# Folders of a streamed posts table.
+POST_DATE, POST_HOUR, BATCH = "post_date", "post_hour", "batch_id"
+STREAMED_POSTS = T.StructType([*POSTS.fields, T.StructField(POST_DATE, T.DateType(), True)])
+
 TREND_KEY = ("keyword", "period_start", "sentiment_label")
 
 RAW_POSTS = _schema(post_id=T.LongType(), did=T.StringType(), text=T.StringType(), created_at=T.TimestampType())

@@ -86,6 +86,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def remove_matching(spark: SparkSession, pattern: str) -> None:
+    """Remove every folder that a pattern of names matches; none is fine."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(target) or []:
+        fs.delete(status.getPath(), True)
+
+
 @contextmanager
 def temporary_stages(spark: SparkSession):
     """Tables staged by this thread inside the block are removed when it ends.

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.session import stage, temporary_stages
+from tidewatch.sinks import versions
 
-# Most writers, and so most files, of one partition of an upserted table.
-WRITERS = 64
-# Most partitions named one by one in a scan filter.
-MAX_PRUNED = 1_000
+# Bytes of the staged rows that one writer, and so one file, takes.
+WRITER_BYTES = 128 << 20
 
 
 def append(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Sequence[str] = (), **options: str) -> None:
@@ -43,43 +42,40 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The Parquet table at ``path``, or ``None`` where nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as err:
-        if err.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """The table that ``upsert_table`` keeps at ``path``, or ``None`` where nothing was written yet."""
+    _, folders = versions.latest(spark, path)
+    return _read(spark, path, folders.values(), schema)
 
 
-def _touched(old: DataFrame, rows: DataFrame, partition_by: str) -> DataFrame:
-    """The partitions of ``old`` that occur in ``rows``: a pruned scan for a few of them, a join for many."""
-    values = rows.select(partition_by).distinct()
-    few = [r[0] for r in values.limit(MAX_PRUNED + 1).collect()]
-    if len(few) > MAX_PRUNED:
-        return old.join(values, partition_by, "left_semi")
-    return old.filter(F.col(partition_by).isin(few))
+def _read(spark: SparkSession, path: str, folders: Iterable[str], schema: StructType) -> DataFrame | None:
+    paths = [f"{path}/{f}" for f in sorted(folders)]
+    return spark.read.schema(schema).parquet(*paths) if paths else None
 
 
 def upsert_table(new: DataFrame, path: str, keys: Sequence[str], partition_by: str) -> None:
-    """Upsert into a Parquet table, rewriting only the partitions that ``new`` touches.
+    """Upsert into a Parquet table, replacing only the partitions that ``new`` touches.
 
-    The merged partitions are staged in the shared folder first, so the files being replaced are never
-    read and written by the same job, and a repeated call after a failure gives the same table.
-    ``partition_by`` has to be a function of the keys.
+    The merged partitions are written into a folder of their own; a manifest that is replaced last makes them the table. A
+    call that fails before that changes nothing, and a repeated call gives the same table. ``partition_by``, a
+    function of the keys, holds letters, digits and dashes; its different values in ``new`` are collected.
     """
     spark = new.sparkSession
     with temporary_stages(spark):
         rows = stage(new, "upsert")
-        old = existing(spark, path, rows.schema)
-        if old is not None:
-            rows = stage(upsert(_touched(old, rows, partition_by), rows, keys), "upsert")
-        # Rows go to writers by partition and by key, so a hot partition has many writers.
-        spread = F.pmod(F.xxhash64(*keys), F.lit(WRITERS))
+        parts = [r[0] for r in rows.select(partition_by).distinct().collect()]
+        if not parts:
+            return
+        number, folders = versions.latest(spark, path)
+        old = _read(spark, path, [folders[p] for p in parts if p in folders], rows.schema)
+        size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        merged = rows if old is None else upsert(old, rows, keys)
+        # Rows go to writers by partition and by key, so a hot partition has as many writers as it may need.
+        spread = F.pmod(F.xxhash64(*keys), F.lit(-(-size // WRITER_BYTES) or 1))
+        version = f"v-{uuid.uuid4().hex}"
         (
-            rows.repartition(F.col(partition_by), spread)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_by)
-            .parquet(path)
+            merged.withColumn("_part", F.col(partition_by))
+            .repartition(F.col("_part"), spread)
+            .write.partitionBy("_part")
+            .parquet(f"{path}/{version}")
         )
+        versions.switch(spark, path, number + 1, {**folders, **{p: f"{version}/_part={p}" for p in parts}})

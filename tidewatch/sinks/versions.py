@@ -1,0 +1,66 @@
+"""Which folders make up a table whose partitions are replaced as a whole.
+
+A manifest names the folder of each partition. It is a small JSON file with a number of its own; the greatest number
+counts. New data are written beside the old ones first, and a new manifest, moved into place as the last step, switches
+over to them. Whatever fails before that leaves the table as it was. One writer at a time is assumed.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import SparkSession
+
+_FOLDER = "_manifests"
+
+
+def _open(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def latest(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
+    """Number and ``partition: folder`` (below ``path``) of the manifest that counts; 0 and nothing without one."""
+    jvm, folder, fs = _open(spark, f"{path}/{_FOLDER}")
+    if not fs.exists(folder):
+        return 0, {}
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    numbers = sorted(int(name.split(".")[0]) for name in names if name.endswith(".json") and not name.startswith("."))
+    if not numbers:
+        return 0, {}
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, f"{numbers[-1]:012d}.json"))
+    try:
+        return numbers[-1], json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def switch(spark: SparkSession, path: str, number: int, folders: dict[str, str]) -> None:
+    """Make ``folders`` the table under the next ``number``; fails if another writer took that number."""
+    jvm, folder, fs = _open(spark, f"{path}/{_FOLDER}")
+    fs.mkdirs(folder)
+    final = jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}.json")
+    draft = jvm.org.apache.hadoop.fs.Path(folder, f".{uuid.uuid4().hex}.draft")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(folders, sort_keys=True).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise RuntimeError(f"manifest {number} of {path} was written by someone else; nothing was changed")
+
+
+def vacuum(spark: SparkSession, path: str) -> None:
+    """Remove folders and manifests that the manifest in use does not need; not while a reader may still use them."""
+    jvm, root, fs = _open(spark, path)
+    number, folders = latest(spark, path)
+    used = {f"{path}/{f}" for f in folders.values()}
+    for version in fs.listStatus(root):
+        if version.getPath().getName().startswith("v-"):
+            parts = [s.getPath() for s in fs.listStatus(version.getPath()) if s.isDirectory()]
+            old = [p for p in parts if f"{path}/{p.getParent().getName()}/{p.getName()}" not in used]
+            for p in [version.getPath()] if len(old) == len(parts) else old:
+                fs.delete(p, True)
+    for status in fs.listStatus(jvm.org.apache.hadoop.fs.Path(root, _FOLDER)):
+        if status.getPath().getName() != f"{number:012d}.json":
+            fs.delete(status.getPath(), False)

@@ -2,13 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from tidewatch.constants import POST_TYPE
 from tidewatch.functions import times
 from tidewatch.operators import clean
 from tidewatch.queries.registry import AS_OF, END, START, micros, query
 from tidewatch.sinks import to_messages
 from tidewatch.sources import select_posts, views
 
-IS_POST = "has_record AND kind = 'app.bsky.feed.post' AND did IS NOT NULL"
+IS_POST = f"has_record AND kind = '{POST_TYPE}' AND did IS NOT NULL"
 NOON = "2024-01-02 12:00:00"
 
 
@@ -97,21 +98,32 @@ def clean_messages(spark, sf):
     return cleaned.withColumn("created_at", micros("created_at"))
 
 
+# The very moments of two events bound the ranges, so that open and closed ends differ.
+FIRST, LAST = 100, 800
+BOUNDS = [f"(SELECT created_at FROM posts_wide WHERE post_id = {n})" for n in (FIRST, LAST)]
+
+
+def _bounds(spark, sf):
+    rows = views.events(spark, sf).filter(F.col("event_id").isin(FIRST, LAST)).select(micros("ts")).collect()
+    return sorted(r[0] for r in rows)
+
+
 @query(
-    f"""SELECT post_id, did FROM posts_wide
-        WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}'""",
+    f"SELECT post_id, did FROM posts_wide WHERE created_at >= least({BOUNDS[0]}, {BOUNDS[1]}) AND created_at < greatest({BOUNDS[0]}, {BOUNDS[1]})",
     "posts_wide",
 )
 def range_half_open(spark, sf):
-    return times.in_range(views.posts_wide(spark, sf), "created_at", START, END).select("post_id", "did")
+    start, end = _bounds(spark, sf)
+    return times.in_range(views.posts_wide(spark, sf), "created_at", start, end).select("post_id", "did")
 
 
 @query(
-    f"SELECT post_id, did FROM posts_wide WHERE created_at BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'",
+    f"SELECT post_id, did FROM posts_wide WHERE created_at BETWEEN least({BOUNDS[0]}, {BOUNDS[1]}) AND greatest({BOUNDS[0]}, {BOUNDS[1]})",
     "posts_wide",
 )
 def range_closed(spark, sf):
-    return times.in_range(views.posts_wide(spark, sf), "created_at", START, END, "both").select("post_id", "did")
+    start, end = _bounds(spark, sf)
+    return times.in_range(views.posts_wide(spark, sf), "created_at", start, end, "both").select("post_id", "did")
 
 
 @query(

@@ -21,6 +21,8 @@ NEGATIVE = constants.NEGATIVE_WORDS
 
 TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
 WORDS = r"unnest(string_split(trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')), ' '))"
+# Profiles learn from these posts, and every post is tagged.
+TRAINING = "post_id % 5 <> 0"
 CUTS = """
     CROSS JOIN unnest(range(1, length(w) + 3)) AS i(pos) CROSS JOIN unnest([1, 2, 3]) AS k(size)
     WHERE w <> '' AND pos + size - 1 <= length(w) + 2"""
@@ -28,7 +30,7 @@ CUTS = """
 view(
     "gram_counts",
     f"""SELECT language, substring('_' || w || '_', pos, size) AS gram, CAST(sum(n) AS BIGINT) AS n
-        FROM (SELECT language, w, count(*) AS n FROM (SELECT language, {WORDS} AS w FROM posts_base) GROUP BY ALL)
+        FROM (SELECT language, w, count(*) AS n FROM (SELECT language, {WORDS} AS w FROM posts_base WHERE {TRAINING}) GROUP BY ALL)
         {CUTS} GROUP BY ALL""",
     "posts_base",
 )
@@ -109,21 +111,32 @@ _phrase_views("phrases_gated", "tagged", "language = 'en' AND sfw", constants.ST
 
 
 def fitted(spark, sf):
-    """A profile of all documents by their given language."""
-    return language.fit_language_profile(views.posts_base(spark, sf))
+    """A profile of the training documents by their given language."""
+    return language.fit_language_profile(views.posts_base(spark, sf).filter(TRAINING))
 
 
 def resources(spark, sf):
     return Resources(fitted(spark, sf), positive=POSITIVE, negative=NEGATIVE)
 
 
-@query("SELECT gram, language, lp AS score FROM gram_scores", "gram_scores")
+# Scores of all n-grams, of frequent words as the sums over their n-grams, and of an n-gram never seen.
+@query(
+    f"""WITH cells AS (
+            SELECT g.gram, t.language, coalesce(lp, CAST(round(ln(1 / CAST(total AS DOUBLE)) * 1000000) AS BIGINT)) AS score
+            FROM (SELECT DISTINCT gram FROM gram_counts) g CROSS JOIN gram_totals t
+            LEFT JOIN gram_scores s ON s.gram = g.gram AND s.language = t.language)
+        SELECT 'item' AS kind, gram AS item, language, score FROM cells
+        UNION ALL SELECT 'unseen', '', language, CAST(round(ln(1 / CAST(total AS DOUBLE)) * 1000000) AS BIGINT) FROM gram_totals
+        UNION ALL SELECT 'word', w, language, CAST(sum(score) AS BIGINT)
+        FROM (SELECT w, substring('_' || w || '_', pos, size) AS gram
+              FROM (SELECT w FROM (SELECT {WORDS} AS w FROM posts_base WHERE {TRAINING}) GROUP BY w HAVING count(*) >= {language.READY_COUNT}) {CUTS})
+        JOIN cells USING (gram) GROUP BY ALL""",
+    "posts_base",
+    "gram_scores",
+)
 def fit_language_profile(spark, sf):
-    profile = fitted(spark, sf)
-    grams = profile.table.filter(F.col("kind") == language.GRAM)
-    long = grams.unpivot("item", list(profile.languages), "language", "score").withColumnRenamed("item", "gram")
-    never = F.create_map(*[F.lit(x) for pair in profile.unseen.items() for x in pair])
-    return long.filter(F.col("score") > F.element_at(never, F.col("language")))
+    table = fitted(spark, sf).table
+    return table.select("kind", F.coalesce("item", F.lit("")).alias("item"), F.explode("scores").alias("language", "score"))
 
 
 @query(
@@ -265,12 +278,17 @@ view(
 )
 
 
+def dimension_of_benchmark(spark, sf):
+    """A keyword dimension that holds the words of the benchmark."""
+    listed = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.explode(tokens(F.col("text"))).alias("keyword_name"))
+    return assign_ids(listed.distinct(), "keyword_name", "keyword_id")
+
+
 def _increment(spark, sf):
     """Labelled documents are loaded already, under ids 1..n; the dimension holds the benchmark's words."""
     done = views.labels(spark, sf).select(F.col("doc_id").alias("raw_post_id"))
     posts = assign_ids(done, "raw_post_id", "post_id")
-    listed = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.explode(tokens(F.col("text"))).alias("keyword_name"))
-    dim = assign_ids(listed.distinct(), "keyword_name", "keyword_id")
+    dim = dimension_of_benchmark(spark, sf)
     return load_increment(views.posts_base(spark, sf).drop("language"), posts, dim, resources(spark, sf))
 
 
@@ -322,7 +340,33 @@ def score_with_model(spark, sf):
     return scored.select("post_id", "scored.label", F.round("scored.score", 6).alias("score"))
 
 
-@query()
+@query(
+    """SELECT post_id, '{"length": ' || length(text) || '}' AS scored FROM posts_base""", "posts_base"
+)
+def score_to_json(spark, sf):
+    """A model that answers in JSON, a series for a series."""
+
+    def load():
+        return lambda texts: '{"length": ' + texts.str.len().astype(str) + "}"
+
+    return sentiment.score_with(views.posts_base(spark, sf), load, "string").select("post_id", "scored")
+
+
+@query(
+    f"""WITH tok AS (SELECT post_id, unnest({TOKENS}) AS item FROM posts_base),
+        known AS (SELECT doc_id AS post_id, toxic AS label FROM labels JOIN posts_base ON doc_id = post_id),
+        counts AS (SELECT label, item, count(*) AS n FROM tok JOIN known USING (post_id) GROUP BY ALL),
+        totals AS (SELECT label, sum(n) + (SELECT count(DISTINCT item) FROM counts) AS total FROM counts GROUP BY label),
+        priors AS (SELECT label, CAST(round(ln(count(*) / CAST((SELECT count(*) FROM known) AS DOUBLE)) * 1000000) AS BIGINT) AS p
+                   FROM known GROUP BY label),
+        sums AS (
+            SELECT post_id, label, p + coalesce((SELECT sum(CAST(round(ln((coalesce(c.n, 0) + 1) / CAST(total AS DOUBLE)) * 1000000) AS BIGINT))
+                                                 FROM tok LEFT JOIN counts c ON c.item = tok.item AND c.label = totals.label
+                                                 WHERE tok.post_id = b.post_id), 0) AS score
+            FROM posts_base b CROSS JOIN totals JOIN priors USING (label))
+        SELECT post_id, CAST(arg_max(label, (score, -label)) AS INTEGER) AS toxic FROM sums GROUP BY post_id""",
+    "posts_base",
+)
 def classify_toxic(spark, sf):
     """Trained on the labelled posts, applied to all of them."""
     posts = views.posts_base(spark, sf)
@@ -331,8 +375,26 @@ def classify_toxic(spark, sf):
     return classifier.classify(posts, model).select("post_id", F.col("prediction").cast("int").alias("toxic"))
 
 
-@query()
+@query(
+    f"""WITH w AS (SELECT post_id, list_filter({TOKENS}, lambda x: x NOT IN ({sql_list(constants.STOP_WORDS)})) AS ws FROM posts_base),
+        once AS (SELECT DISTINCT post_id, unnest(ws) AS word FROM w),
+        dims AS (SELECT unnest(range({semantic.SIZE})) AS i),
+        base AS (SELECT word, ('0x' || substr(md5(word), 1, 8))::BIGINT AS b FROM (SELECT DISTINCT word FROM once)),
+        company AS (SELECT post_id, i, sum(1 - 2 * ((b >> i) & 1)) AS v FROM once JOIN base USING (word), dims GROUP BY ALL),
+        vectors AS (SELECT word, i, CAST(sum(v) AS DOUBLE) AS v FROM once JOIN company USING (post_id) GROUP BY ALL HAVING count(*) >= 5),
+        whole AS (SELECT post_id, i, sum(v) AS v FROM (SELECT post_id, unnest(ws) AS word FROM w) JOIN vectors USING (word) GROUP BY ALL),
+        parts AS (
+            SELECT post_id, phrase, i, sum(v) AS v
+            FROM (SELECT post_id, phrase, unnest(string_split(phrase, ' ')) AS word
+                  FROM (SELECT DISTINCT post_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS phrase
+                        FROM w)) JOIN vectors USING (word) GROUP BY ALL),
+        scored AS (
+            SELECT post_id, phrase, round(sum(p.v * d.v) / sqrt(sum(p.v * p.v) * sum(d.v * d.v)), 6) AS score
+            FROM parts p JOIN whole d USING (post_id, i) GROUP BY ALL)
+        SELECT post_id, CAST(place AS INTEGER) AS rank, phrase AS keyword, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY score DESC, phrase) AS place FROM scored) WHERE place <= 3""",
+    "posts_base",
+)
 def keyphrases_semantic(spark, sf):
     posts = views.posts_base(spark, sf)
-    model = semantic.fit_word_vectors(posts)
-    return semantic.keywords_semantic(posts, model).select("post_id", "rank", "keyword", "score")
+    return semantic.keywords_semantic(posts, semantic.fit_word_vectors(posts)).select("post_id", "rank", "keyword", "score")

@@ -108,16 +108,17 @@ def lookup_post_ids(spark, sf):
 
 
 @query(
-    """SELECT m.post_id, keyword, created_at IS NOT NULL AS known
-       FROM (SELECT DISTINCT post_id, keyword FROM keyword_rows) k JOIN parsed m USING (post_id)""",
+    """SELECT event_id + 1000000 AS stored_id, keyword
+       FROM (SELECT DISTINCT post_id, keyword FROM keyword_rows) k JOIN events ON event_id = post_id
+       WHERE event_type <> 'signup'""",
     "keyword_rows",
-    "parsed",
 )
 def join_id_map(spark, sf):
-    """Enriched rows get their stored ids by an inner join."""
-    ids = clean.parse_created_at(clean.parse_messages(views.messages(spark, sf))).select("post_id", "created_at")
+    """Enriched rows get the ids under which they were stored; signups were not."""
+    stored = views.events(spark, sf).filter("event_type <> 'signup'")
+    ids = stored.select(F.col("event_id").alias("post_id"), (F.col("event_id") + 1_000_000).alias("stored_id"))
     rows = _pairs(spark, sf).withColumnRenamed("keyword_name", "keyword")
-    return rows.join(ids, "post_id").select("post_id", "keyword", F.col("created_at").isNotNull().alias("known"))
+    return incremental.join_ids(rows, ids, "post_id").select("stored_id", "keyword")
 
 
 @query(
@@ -126,13 +127,12 @@ def join_id_map(spark, sf):
               CASE WHEN hour(period_start) < 12 THEN post_count ELSE -1 END AS post_count,
               CASE WHEN hour(period_start) < 12 THEN round(avg_sentiment_score, 6) ELSE 0.0 END AS avg_sentiment_score,
               sentiment_label
-       FROM keyword_trends
-       WHERE hour(period_start) < 18""",
+       FROM keyword_trends""",
     "keyword_trends",
 )
 def upsert_trends(spark, sf):
     """A stale afternoon table takes the morning's rows: some replaced, some new, the vanished ones kept."""
-    rows = hourly(spark, sf).filter(F.hour("period_start") < 18)
+    rows = hourly(spark, sf)
     stale = rows.filter(F.hour("period_start") >= 6).withColumns(
         {"post_count": F.lit(-1).cast("bigint"), "avg_sentiment_score": F.lit(0.0)}
     )

@@ -87,7 +87,11 @@ def with_views(sql: str, *names: str) -> str:
     for name in names:
         add(name)
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in order)
-    return f"WITH {ctes}\n{sql.strip()}" if ctes else sql.strip()
+    sql = sql.strip()
+    if not ctes:
+        return sql
+    # a query that begins with common table expressions of its own takes the views in front of them
+    return f"WITH {ctes},\n{sql[4:].strip()}" if sql.upper().startswith("WITH") else f"WITH {ctes}\n{sql}"
 
 
 def query(sql: str | None = None, *views: str):

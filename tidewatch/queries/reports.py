@@ -76,11 +76,11 @@ NAME_CASES = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in LANGUAGE_
 
 @query(
     f"""SELECT language, num_posts, CASE language {NAME_CASES} ELSE language END AS language_name
-        FROM ({LANGUAGES}) ORDER BY num_posts DESC, language LIMIT 15""",
+        FROM ({LANGUAGES}) ORDER BY num_posts DESC, language LIMIT 3""",
     "posts_wide",
 )
 def top_languages(spark, sf):
-    return reports.top_languages(views.posts_wide(spark, sf), START, END)
+    return reports.top_languages(views.posts_wide(spark, sf), START, END, k=3)
 
 
 FACTS = """
@@ -158,9 +158,9 @@ def top_keywords_ascending(spark, sf):
     return reports.top_keywords(hourly(spark, sf), START, END, order="asc")
 
 
-@query(f"{SUMS} 200", "keyword_trends")
+@query(f"{SUMS} 80", "keyword_trends")
 def keyword_choices(spark, sf):
-    return reports.top_keywords(hourly(spark, sf), START, END, k=200)
+    return reports.top_keywords(hourly(spark, sf), START, END, k=80)
 
 
 @query(f"{SUMS} 20".replace(PERIODS, f"period_start BETWEEN {LOOKBACK}"), "keyword_trends")

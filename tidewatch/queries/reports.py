@@ -10,7 +10,8 @@ from tidewatch.queries.trends import hourly
 from tidewatch.sources import views
 
 WINDOW = f"created_at BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
-PERIODS = f"period_start BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
+# Reports on keywords are checked against the posts themselves: a post counts in the period of its hour.
+PERIODS = f"date_trunc('hour', created_at) BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
 SELECTED = ("click", "error", "purchase", "k1", "k42", "absent")
 
 HOUR = "CAST(hour(created_at) AS INTEGER)"
@@ -18,18 +19,19 @@ FLAG = "CASE WHEN sfw THEN 'SFW' ELSE 'NSFW' END"
 
 view(
     "dashboard",
-    f"""SELECT 'posts_by_hour' AS metric, {HOUR} AS col1, CAST(NULL AS VARCHAR) AS col2, count(*) AS value
-        FROM posts_wide WHERE {WINDOW} GROUP BY ALL
-        UNION ALL SELECT 'sentiment_totals', NULL, sentiment_label, count(*) FROM posts_wide WHERE {WINDOW} GROUP BY ALL
-        UNION ALL SELECT 'sentiment_by_hour', {HOUR}, sentiment_label, count(*) FROM posts_wide WHERE {WINDOW} GROUP BY ALL
-        UNION ALL SELECT 'sfw_totals', NULL, {FLAG}, count(*) FROM posts_wide WHERE {WINDOW} GROUP BY ALL
-        UNION ALL SELECT 'language_totals', NULL, coalesce(language, 'unknown'), count(*)
-        FROM posts_wide WHERE {WINDOW} GROUP BY ALL
-        UNION ALL SELECT 'fast_facts', NULL, 'TOTAL_POSTS', count(*) FROM posts_wide
-        UNION ALL SELECT 'fast_facts', NULL, 'UNIQUE_USERS', count(DISTINCT did) FROM posts_wide
-        UNION ALL SELECT 'fast_facts', NULL, 'UNIQUE_KEYWORDS', count(DISTINCT keyword) FROM keyword_trends""",
+    f"""WITH cells AS (SELECT {HOUR} AS h, sentiment_label AS l, {FLAG} AS f, coalesce(language, 'unknown') AS g
+                      FROM posts_wide WHERE {WINDOW}),
+             sums AS (SELECT grouping(h, l, f, g) AS summed, h, l, f, g, count(*) AS value
+                      FROM cells GROUP BY GROUPING SETS ((h), (l), (h, l), (f), (g))),
+             names(summed, metric) AS (VALUES (7, 'posts_by_hour'), (11, 'sentiment_totals'), (3, 'sentiment_by_hour'),
+                                              (13, 'sfw_totals'), (14, 'language_totals')),
+             facts(col2, value) AS (VALUES ('TOTAL_POSTS', (SELECT count(*) FROM events)),
+                                           ('UNIQUE_USERS', (SELECT count(DISTINCT user_id) FROM events)),
+                                           ('UNIQUE_KEYWORDS', (SELECT count(DISTINCT keyword) FROM keyword_rows)))
+        SELECT metric, h AS col1, coalesce(l, f, g) AS col2, value FROM sums JOIN names USING (summed)
+        UNION ALL BY NAME SELECT 'fast_facts' AS metric, col2, value FROM facts""",
     "posts_wide",
-    "keyword_trends",
+    "keyword_rows",
 )
 
 
@@ -144,45 +146,46 @@ def _register_slices():
 _register_slices()
 
 SUMS = f"""
-    SELECT keyword, CAST(sum(post_count) AS BIGINT) AS total_posts FROM keyword_trends
-    WHERE {PERIODS} GROUP BY keyword ORDER BY total_posts DESC, keyword LIMIT"""
+    SELECT keyword, total_posts FROM (
+        SELECT *, row_number() OVER (ORDER BY total_posts DESC, keyword) AS place
+        FROM (SELECT keyword, count(DISTINCT post_id) AS total_posts FROM keyword_rows WHERE {PERIODS} GROUP BY keyword))
+    WHERE place <="""
 
 
-@query(f"{SUMS} 20", "keyword_trends")
+@query(f"{SUMS} 20", "keyword_rows")
 def top_keywords(spark, sf):
     return reports.top_keywords(hourly(spark, sf), START, END)
 
 
-@query(f"{SUMS} 20", "keyword_trends")
+@query(f"{SUMS} 20", "keyword_rows")
 def top_keywords_ascending(spark, sf):
     return reports.top_keywords(hourly(spark, sf), START, END, order="asc")
 
 
-@query(f"{SUMS} 80", "keyword_trends")
+@query(f"{SUMS} 80", "keyword_rows")
 def keyword_choices(spark, sf):
     return reports.top_keywords(hourly(spark, sf), START, END, k=80)
 
 
-@query(f"{SUMS} 20".replace(PERIODS, f"period_start BETWEEN {LOOKBACK}"), "keyword_trends")
+@query(f"{SUMS} 20".replace(PERIODS, f"date_trunc('hour', created_at) BETWEEN {LOOKBACK}"), "keyword_rows")
 def top_keywords_lookback(spark, sf):
     start, end = times.lookback(AS_OF)
     return reports.top_keywords(hourly(spark, sf), start, end)
 
 
 BY_LABEL = f"""
-    SELECT keyword, sentiment_label, CAST(sum(post_count) AS BIGINT) AS n,
-           round(sum(avg_sentiment_score * post_count) / sum(post_count), 3) AS avg_score
-    FROM keyword_trends WHERE {PERIODS} """
+    SELECT keyword, sentiment_label, count(DISTINCT post_id) AS n, round(avg(sentiment_score), 3) AS avg_score
+    FROM keyword_rows WHERE {PERIODS} """
 
 
-@query(f"{BY_LABEL} AND keyword IN ({sql_list(SELECTED)}) GROUP BY ALL", "keyword_trends")
+@query(f"{BY_LABEL} AND keyword IN ({sql_list(SELECTED)}) GROUP BY ALL", "keyword_rows")
 def keyword_sentiment(spark, sf):
     return reports.keyword_sentiment(hourly(spark, sf), START, END, SELECTED)
 
 
 @query(
     f"{BY_LABEL} AND keyword IN (SELECT event_type FROM events) GROUP BY ALL",
-    "keyword_trends",
+    "keyword_rows",
 )
 def keyword_sentiment_of_table(spark, sf):
     chosen = views.events(spark, sf).select(F.col("event_type").alias("keyword")).distinct()
@@ -191,13 +194,13 @@ def keyword_sentiment_of_table(spark, sf):
 
 view(
     "keyword_stats",
-    f"""SELECT keyword, CAST(sum(post_count) AS BIGINT) AS total_posts,
-               round(sum(avg_sentiment_score * post_count) / sum(post_count), 3) AS avg_sentiment_score,
-               CAST(sum(CASE WHEN sentiment_label = 'Positive' THEN post_count ELSE 0 END) AS BIGINT) AS positive,
-               CAST(sum(CASE WHEN sentiment_label = 'Neutral' THEN post_count ELSE 0 END) AS BIGINT) AS neutral,
-               CAST(sum(CASE WHEN sentiment_label = 'Negative' THEN post_count ELSE 0 END) AS BIGINT) AS negative
-        FROM keyword_trends WHERE {PERIODS} AND keyword IN ({sql_list(SELECTED)}) GROUP BY keyword""",
-    "keyword_trends",
+    f"""SELECT keyword, count(*) AS total_posts, round(avg(score), 3) AS avg_sentiment_score,
+               count(*) FILTER (label = 'Positive') AS positive, count(*) FILTER (label = 'Neutral') AS neutral,
+               count(*) FILTER (label = 'Negative') AS negative
+        FROM (SELECT post_id, keyword, any_value(sentiment_label) AS label, avg(sentiment_score) AS score
+              FROM keyword_rows WHERE {PERIODS} GROUP BY post_id, keyword)
+        WHERE keyword IN ({sql_list(SELECTED)}) GROUP BY keyword""",
+    "keyword_rows",
 )
 
 

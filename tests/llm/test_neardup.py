@@ -57,7 +57,7 @@ def test_edges(edge, edge_rows, nothing):
     check(edge_rows, edge)
     assert N.near_duplicates(nothing).collect() == []
     kept = N.firsts(edge)
-    assert kept.columns == edge.columns and {r["doc_id"] for r in kept.collect()} == {1, 2, 3, 4, 5, 8, None, -9, 10, 12, 13, 14}
+    assert kept.columns == edge.columns and {r["doc_id"] for r in kept.collect()} == {1, 2, 3, 4, 5, 8, None, -9, 10, 12, 13}
 
 
 def test_groups_of_copies_at_every_distance(spark):

@@ -12,8 +12,8 @@ have a Jaccard similarity of at least ``PERCENT`` in a hundred; a component is w
    (five standard errors below the limit); all others are confirmed on the full sets.
 4. A second round of stars takes other leaders for buckets that still hold several components.
 5. Rest: in buckets that still do, every member outside the bucket's main component is held against all members
-   of other components, in chunks of sketches, many to a bucket. No cap: a pair in a bucket is either inside one
-   component or has been compared.
+   of other components, in chunks of sketches and sets of short hashes, many to a bucket. Only likely links leave a chunk, to
+   be confirmed on the full sets too. No cap: a pair in a bucket is either inside one component or has been compared.
 
 Null or empty texts have an empty set, link with nothing and stay. A null id is in no component and stays.
 Rows that share an id are one node: they have the same component. Other columns are not read.
@@ -40,7 +40,7 @@ SKETCH_FLOOR = 0.63
 #: Rounds of stars before the rest is compared in chunks.
 STARS = 2
 #: Members of a chunk.
-CHUNK = 512
+CHUNK = 256
 #: Shingles hashed at a time, so that they stay in the processor's cache.
 CACHED = 1 << 15
 
@@ -153,10 +153,10 @@ def _differing(a: str, b: str):
     return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)), F.lit(0))
 
 
-def _close(pairs: DataFrame, odd: DataFrame) -> DataFrame:
+def _close(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """Pairs whose odd sketches don't rule them out."""
-    a = odd.select(F.col("id").alias("a"), F.col("odd").alias("odd_a"))
-    b = odd.select(F.col("id").alias("b"), F.col("odd").alias("odd_b"))
+    a = sketched.select(F.col("id").alias("a"), F.col("odd").alias("odd_a"))
+    b = sketched.select(F.col("id").alias("b"), F.col("odd").alias("odd_b"))
     near = _differing("odd_a", "odd_b") <= max_differing_bits(SKETCH_FLOOR)
     return pairs.join(a, "a").join(b, "b").filter(near).select("a", "b")
 
@@ -178,44 +178,83 @@ def _stars(several: DataFrame, round_: int) -> DataFrame:
     return led.select(F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b")).distinct()
 
 
-def _rest(several: DataFrame, odd: DataFrame) -> DataFrame:
-    """Close pairs of members outside their bucket's main component and members of other components."""
+def _hash_sets(texts: DataFrame, size: int) -> DataFrame:
+    """``id, own``: the upper 32 bits of the hashes of each text's shingles, sorted, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in W.blocks(batches, "text"):
+            rows, hashes = shingle_sets(block.column("text"), size)
+            cuts = np.searchsorted(rows, np.arange(len(block) + 1))
+            short = (hashes >> np.uint64(32)).astype(np.uint32)
+            own = [short[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(own, pa.binary())], ["id", "own"])
+
+    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, own binary")
+
+
+def _likely(few: dict, everyone: dict, bucket: int, main: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in both chunks of the pairs to be confirmed.
+
+    Left out are pairs of one component, pairs whose first common bucket is another one (they are looked at there), pairs of
+    two outsiders the other way round, and pairs ruled out by their odd sketches, their sizes or their short hashes.
+    """
+    outsider = everyone["component"] != main
+    wanted = (few["component"][:, None] != everyone["component"]) & ~(outsider & (few["id"][:, None] > everyone["id"]))
+    differing = np.zeros(wanted.shape, np.int16)
+    for word in range(few["odd"].shape[1]):
+        differing += np.bitwise_count(few["odd"][:, word, None] ^ everyone["odd"][None, :, word])
+    n, m = few["size"][:, None], everyone["size"]
+    wanted &= (differing <= max_differing_bits(SKETCH_FLOOR)) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
+    x, y = np.nonzero(wanted)
+    common = few["bands"][x] == everyone["bands"][y]
+    here = few["bands"][x, common.argmax(axis=1)] == bucket
+    x, y = x[here], y[here]
+    linked = np.zeros(len(x), bool)
+    for place in np.unique(x):
+        at = np.flatnonzero(x == place)
+        own, others = few["own"][place], [everyone["own"][k] for k in y[at]]
+        sizes = np.array([len(o) for o in others])
+        found = np.minimum(np.searchsorted(own, flat := np.concatenate(others)), len(own) - 1)
+        shared = np.add.reduceat((own[found] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+        # short hashes of different shingles of a set may be equal: allow for some more such cases than are likely
+        shared += 2 + sizes.astype(np.int64) ** 2 // (1 << 30)
+        linked[at] = 100 * shared >= PERCENT * (len(own) + sizes - shared)
+    return x[linked], y[linked]
+
+
+def _rest(several: DataFrame, sketched: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Likely links of members outside their bucket's main component with members of other components."""
     kind = several.schema["id"].dataType.simpleString()
     shares = several.groupBy("bucket", "component").count()
     main = shares.groupBy("bucket").agg(
         F.max_by("component", F.struct("count", "component")).alias("main"), F.sum("count").alias("n")
     )
+    sets = stage(_hash_sets(texts.join(several.select("id").distinct(), "id"), size), "hash-sets").dropDuplicates(["id"])
     chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CHUNK)).alias("chunk")
-    members = several.join(main, "bucket").join(odd, "id").select("bucket", "main", chunk, "id", "component", "odd")
+    members = several.join(main, "bucket").select("bucket", "main", chunk, "id", "component")
+    columns = ["id", "component", "odd", "bands", "own"]
+    members = members.join(sketched, "id").join(sets, "id").select("bucket", "main", "chunk", *columns)
 
     def chunks(df: DataFrame, mark: str) -> DataFrame:
-        each = [F.collect_list(F.struct("id", "component", "odd")).alias(mark)]
-        return df.groupBy("bucket", "chunk").agg(*each).select("bucket", mark)
+        each = [F.collect_list(F.struct(*columns)).alias(mark)]
+        return df.groupBy("bucket", "main", "chunk").agg(*each).drop("chunk")
 
-    most = max_differing_bits(SKETCH_FLOOR)
+    def side(values: pa.StructArray) -> dict:
+        numbers = {c: values.field(c).to_numpy(zero_copy_only=False) for c in ("id", "component")}
+        wide = {c: values.field(c).flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1) for c in ("odd", "bands")}
+        own = [np.frombuffer(v.as_py(), np.uint32) for v in values.field("own")]
+        return {**numbers, "odd": wide["odd"].view(np.uint64), "bands": wide["bands"], "own": own, "size": np.array([len(o) for o in own])}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                sides = []
-                for side in ("few", "all"):
-                    values = batch.column(side)[i].values
-                    sides.append((
-                        values.field("id").to_numpy(zero_copy_only=False),
-                        values.field("component").to_numpy(zero_copy_only=False),
-                        values.field("odd").flatten().to_numpy().view(np.uint64).reshape(len(values), -1),
-                    ))
-                (ids, labels, odds), (all_ids, all_labels, all_odds) = sides
-                differing = np.zeros((len(ids), len(all_ids)), np.int16)
-                for word in range(odds.shape[1]):
-                    differing += np.bitwise_count(odds[:, word, None] ^ all_odds[None, :, word])
-                x, y = np.nonzero((differing <= most) & (labels[:, None] != all_labels[None, :]))
-                a, b = np.minimum(ids[x], all_ids[y]), np.maximum(ids[x], all_ids[y])
+                few, everyone = side(batch.column("few")[i].values), side(batch.column("all")[i].values)
+                x, y = _likely(few, everyone, batch.column("bucket")[i].as_py(), batch.column("main")[i].as_py())
+                a, b = np.minimum(few["id"][x], everyone["id"][y]), np.maximum(few["id"][x], everyone["id"][y])
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    few = chunks(members.filter("component <> main"), "few")
-    pairs = few.join(chunks(members, "all"), "bucket").select("few", "all")
-    return pairs.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    few = chunks(members.filter("component <> main"), "few").drop("main")
+    return few.join(chunks(members, "all"), "bucket").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
@@ -228,7 +267,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     shared = rows.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     members = stage(rows.join(shared.select("bucket"), "bucket").distinct(), "buckets")
     ids = members.select("id").distinct()
-    odd = stage(whole.select("id", "odd").join(ids, "id").dropDuplicates(["id"]), "odd")
+    sketched = stage(whole.select("id", "odd", "bands").join(ids, "id").dropDuplicates(["id"]), "sketched")
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids, "id")
     texts = stage(texts, "texts")
 
@@ -239,7 +278,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
             several = stage(several, "open")
             if several.isEmpty():
                 break
-        pairs = _close(_stars(several, round_), odd) if round_ < STARS else _rest(several, odd)
+        pairs = _close(_stars(several, round_), sketched) if round_ < STARS else _rest(several, sketched, texts, size)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")

@@ -16,7 +16,8 @@ from tidewatch.sinks import publish, publish_stream, to_messages, upsert_databas
 from tidewatch.sinks.tables import existing
 from tidewatch.sources import read_message_stream, read_table, views
 from tidewatch.sources.tables import jdbc_options
-from tidewatch.streaming import run_enrichment, run_trends
+from tidewatch.sources import select_posts
+from tidewatch.streaming import run_enrichment, run_selection, run_trends
 
 DRAIN = {"availableNow": True}
 
@@ -124,6 +125,17 @@ def test_stream_equals_batch_over_a_restart(spark, sf, tmp_path):
     assert sorted(map(str, streamed.select(key).collect())) == sorted(map(str, batch.select(key).collect()))
 
 
+def test_rejected_events_are_kept(spark, sf, tmp_path):
+    source, messages, rejects, checkpoint = (str(tmp_path / d) for d in ("in", "messages", "rejects", "checkpoint"))
+    events = views.raw_events(spark, sf).select("value")
+    events.repartition(2).write.parquet(source)
+    stream = read_message_stream(spark, "parquet", source, 1)
+    run_selection(stream, rejects, checkpoint, messages, "text", DRAIN).awaitTermination()
+    posts, others = select_posts(events)
+    assert sorted(map(str, spark.read.text(messages).collect())) == sorted(map(str, to_messages(posts).collect()))
+    assert sorted(r.value for r in spark.read.parquet(rejects).collect()) == sorted(r.value for r in others.collect())
+
+
 def test_repeated_messages_are_stored_once(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / d) for d in ("in", "out", "checkpoint"))
     values = [(json.dumps({"did": "a", "createdAt": None, "text": t}),) for t in ("x", "x", "y")]

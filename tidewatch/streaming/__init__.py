@@ -2,6 +2,7 @@
 
 from tidewatch.streaming.dedup import dedup
 from tidewatch.streaming.enrichment import run_enrichment
+from tidewatch.streaming.selection import run_selection
 from tidewatch.streaming.trends import run_trends
 
-__all__ = ["dedup", "run_enrichment", "run_trends"]
+__all__ = ["dedup", "run_enrichment", "run_selection", "run_trends"]

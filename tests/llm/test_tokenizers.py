@@ -133,6 +133,17 @@ def test_any_dropout_decodes_to_the_text(vocabulary, text, dropout, variant):
     assert decoder.decode(ids) == text and ids == P.Encoder(vocabulary, dropout).encode(text, variant)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(TEXTS, st.text(max_size=12)), max_size=12), st.sampled_from([0.0, 0.2, 0.5, 1.0]))
+def test_segments_merged_together_are_those_merged_one_by_one(vocabulary, texts, dropout):
+    encoder = P.Encoder(vocabulary, dropout)
+    parts = [p for t in texts for p in P.segments(t)] + ["x" * 70, " " + "the" * 30]
+    for variant in (0, 3):
+        assert encoder.segments(parts, variant) == [encoder.segment(p, variant) for p in parts]
+    ids = encoder.encode_all([*texts, None], list(range(len(texts) + 1)))
+    assert ids[-1] is None and ids[:-1] == [encoder.encode(t, encoder.variant(k)) for k, t in enumerate(texts)]
+
+
 def test_dropout_varies_segmentations_at_its_rate(vocabulary):
     text = prose(3, 400)
     by = {v: P.Encoder(vocabulary, 0.3).encode(text, v) for v in range(4)}

@@ -2,7 +2,7 @@
 
 Encoding is byte-pair merging by an agenda: pairs of neighbours whose union is a piece wait in order of score, then
 place; the first one merges, unless a keyed hash skips it (``dropout`` of the time), and its new neighbours join the
-agenda. A skipped pair comes back only as part of a new pair. The key is made of the seed, the document's
+agenda. Short segments take these steps together, in arrays. A skipped pair comes back only as part of a new pair. The key is made of the seed, the document's
 ``variant`` (a hash of its id, below ``variants``), the segment, and the pair's place, so a run can be repeated
 anywhere, and segments are worth keeping: each task keeps up to a million. Without dropout the result is the
 tokenizer's own.
@@ -18,6 +18,7 @@ import heapq
 import zlib
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -26,7 +27,12 @@ from tidewatch.llm import words as W
 from tidewatch.llm.vocabulary import CACHE, MODEL, Vocabulary, segments
 
 DROPOUT, SEED, VARIANTS = 0.1, 20240229, 4
+#: Segments that are merged step by step together, and the longest of them.
+TOGETHER, LONGEST = 1 << 14, 64
 _MASK = (1 << 64) - 1
+_MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_NONE = np.inf
 
 
 class Encoder:
@@ -34,7 +40,8 @@ class Encoder:
         self.ids, self.bytes_, self.variants = vocabulary.ids, vocabulary.bytes_, variants
         self.rank = {piece: -score for piece, score in vocabulary.scores.items()}
         self.limit, self.seed = int(dropout * (1 << 64)), seed
-        self.known: dict[tuple[int, str], list[int]] = {}
+        self.known: dict[int, dict[str, list[int]]] = {}
+        self.table = Table(vocabulary)
 
     def variant(self, key: object) -> int:
         return zlib.crc32(f"{self.seed}:{key}".encode()) % self.variants
@@ -57,8 +64,8 @@ class Encoder:
             if end[left] != middle or end[middle] != right:
                 continue  # one of the two has merged since
             if limit:
-                h = ((key ^ (left << 40 | middle << 20 | right)) * 0xFF51AFD7ED558CCD) & _MASK
-                h = ((h ^ h >> 32) * 0xC4CEB9FE1A85EC53) & _MASK
+                h = ((key ^ (left << 40 | middle << 20 | right)) * _MIX[0]) & _MASK
+                h = ((h ^ h >> 32) * _MIX[1]) & _MASK
                 if h ^ h >> 32 < limit:
                     continue
             end[left], end[middle] = right, -1
@@ -82,17 +89,136 @@ class Encoder:
             at = end[at]
         return out
 
-    def encode(self, text: str, variant: int) -> list[int]:
-        known, out = self.known, []
-        for part in segments(text):
-            found = known.get((variant, part))
-            if found is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                found = known[variant, part] = self.segment(part, variant)
-            out += found
+    def segments(self, texts: list[str], variant: int) -> list[list[int]]:
+        """``segment`` of many segments: short ones of like length take each step of their agendas together."""
+        out: list[list[int]] = [[]] * len(texts)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        order = np.argsort(sizes, kind="stable")
+        at = 0
+        while at < len(order):
+            widest = int(sizes[order[min(at + TOGETHER, len(order)) - 1]])
+            if sizes[order[at]] > LONGEST:
+                out[order[at]] = self.segment(texts[order[at]], variant)
+                at += 1
+                continue
+            upto = min(at + TOGETHER, int(np.searchsorted(sizes[order], min(max(2 * int(sizes[order[at]]), 8), widest, LONGEST), "right")))
+            part = order[at:upto].tolist()
+            for i, ids in zip(part, self._together([texts[i] for i in part], variant), strict=True):
+                out[i] = ids
+            at = upto
+        return out
+
+    def _together(self, texts: list[str], variant: int) -> Iterator[list[int]]:
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        n, width = len(texts), int(sizes.max())
+        inside = np.arange(width) < sizes[:, None]
+        points = np.zeros((n, width), np.uint64)
+        points[inside] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        sums = np.zeros((n, width + 1), np.uint64)
+        for k in range(width):
+            sums[:, k + 1] = sums[:, k] * _BASE + points[:, k] + np.uint64(1)
+
+        def look(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Rank and id of the piece between places a and b; no rank and -1 if there is none."""
+            found = sums[rows, b] - sums[rows, a] * self.table.powers[b - a]
+            return self.table.look(found)
+
+        every = np.arange(n)
+        starts = np.arange(width)
+        end = np.where(inside, starts + 1, -1)
+        before = np.broadcast_to(starts - 1, (n, width)).copy()
+        rank = np.full((n, width), _NONE)
+        rows, lefts = np.nonzero(starts + 1 < sizes[:, None])
+        rank[rows, lefts] = look(rows, lefts, lefts + 2)[0]
+        keys = np.fromiter((zlib.crc32(t.encode()) for t in texts), np.uint64, n) << np.uint64(32) | np.uint64(self.seed & 0xFFFFFFFF)
+        keys += np.uint64(variant * 0x9E3779B97F4A7C15 & _MASK)
+        live = every
+        while len(live):
+            left = rank[live].argmin(axis=1)
+            going = rank[live, left] < _NONE
+            live, left = live[going], left[going]
+            middle = end[live, left]
+            right = end[live, middle]
+            skipped = self._skips(keys[live], left, middle, right)
+            rank[live[skipped], left[skipped]] = _NONE
+            row, left, middle, right = (x[~skipped] for x in (live, left, middle, right))
+            end[row, left], end[row, middle], rank[row, middle], rank[row, left] = right, -1, _NONE, _NONE
+            more = right < sizes[row]
+            r, a, b = row[more], left[more], right[more]
+            before[r, b] = a
+            rank[r, a] = look(r, a, end[r, b])[0]
+            more = left > 0
+            r, b = row[more], right[more]
+            first = before[r, left[more]]
+            rank[r, first] = look(r, first, b)[0]
+        rows, lefts = np.nonzero(end > 0)
+        ids = look(rows, lefts, end[rows, lefts])[1]
+        cuts = np.searchsorted(rows, np.arange(n + 1)).tolist()
+        flat, places, strange = ids.tolist(), lefts.tolist(), set(rows[ids < 0].tolist())
+        for i, text in enumerate(texts):
+            a, b = cuts[i], cuts[i + 1]
+            if i in strange:
+                found = [[x] if x >= 0 else [self.bytes_[o] for o in text[k].encode()] for x, k in zip(flat[a:b], places[a:b], strict=True)]
+                yield [x for xs in found for x in xs]
+            else:
+                yield flat[a:b]
+
+    def _skips(self, keys: np.ndarray, left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not 0 < self.limit <= _MASK:
+            return np.full(len(keys), self.limit > 0)
+        h = (keys ^ (left << 40 | middle << 20 | right).astype(np.uint64)) * np.uint64(_MIX[0])
+        h = (h ^ h >> np.uint64(32)) * np.uint64(_MIX[1])
+        return (h ^ h >> np.uint64(32)) < np.uint64(self.limit)
+
+    def encode_all(self, texts: list[str | None], keys: list) -> list[list[int] | None]:
+        """The ids of each text; segments that are not known yet are found for all texts at once."""
+        if sum(map(len, self.known.values())) >= CACHE:
+            self.known.clear()
+        rows = [(self.variant(k), None if t is None else segments(t)) for t, k in zip(texts, keys, strict=True)]
+        for variant in {v for v, _ in rows}:
+            known = self.known.setdefault(variant, {})
+            new = {p for v, parts in rows if v == variant and parts for p in parts if p not in known}
+            new = list(new)
+            known.update(zip(new, self.segments(new, variant), strict=True))
+        out: list[list[int] | None] = []
+        for variant, parts in rows:
+            if parts is None:
+                out.append(None)
+                continue
+            known, ids = self.known[variant], []
+            for part in parts:
+                ids += known[part]
+            out.append(ids)
         return out
 
+    def encode(self, text: str, variant: int) -> list[int]:
+        return [x for part in segments(text) for x in self.segment(part, variant)]
+
+
+class Table:
+    """Pieces by the hash of their characters: a polynomial modulo 2**64, so that of a part follows from prefixes."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        pieces = list(vocabulary.ids)
+        hashes = np.zeros(len(pieces), np.uint64)
+        for i, piece in enumerate(pieces):
+            h = 0
+            for c in piece:
+                h = (h * int(_BASE) + ord(c) + 1) & _MASK
+            hashes[i] = h
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        if len(np.unique(hashes)) < len(hashes):
+            raise ValueError("two pieces have one hash")
+        self.ranks = np.array([-vocabulary.scores[p] for p in pieces])[order]
+        self.ids = np.array([vocabulary.ids[p] for p in pieces])[order]
+        self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(LONGEST, _BASE)]))
+
+    def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        known = self.hashes[at] == hashes
+        return np.where(known, self.ranks[at], _NONE), np.where(known, self.ids[at], -1)
+
 
 class Decoder:
     """Pieces and bytes by id, joined by whole columns of ids."""
@@ -137,10 +263,7 @@ def encode(
         encoder, decoder = Encoder(shared.value, dropout, seed, variants), Decoder(shared.value)
         for block in W.blocks(batches, text, W.BLOCK_BYTES // 4):
             texts = block.column(text).to_pylist()
-            ids = [
-                None if t is None else encoder.encode(t, encoder.variant(k))
-                for t, k in zip(texts, block.column(key).to_pylist(), strict=True)
-            ]
+            ids = encoder.encode_all(texts, block.column(key).to_pylist())
             lossless = [None if t is None else decoder.decode(i) == t for t, i in zip(texts, ids, strict=True)]
             counts = [0 if i is None else len(i) for i in ids]
             columns = [_lists(ids), pa.array(counts, pa.int64()), pa.array(lossless, pa.bool_())]

@@ -53,7 +53,8 @@ def shard(
         shard_of(F.col(key), grown).alias("grown_shard"),
     )
     buckets = max(1, -(-docs.count() // (BUCKET_ROWS * len(weights))))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(key, "text_crc32", "size"), F.lit(buckets)))
+    row = F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), "text_crc32", "size"))
+    rows = rows.withColumn("bucket", F.pmod(F.conv(F.substring(row, 1, 8), 16, 10).cast("bigint"), F.lit(buckets)))
     counts = rows.groupBy("shard", "bucket").count()
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))

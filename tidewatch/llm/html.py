@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import words as W
+from tidewatch.session import stage
 
 CONSTANT, MIN_PAGES = 0.9, 5
 
@@ -285,6 +286,7 @@ def templates(trees: DataFrame) -> DataFrame:
     """``host, reference, constant``: the template nodes of each host's reference page, for hosts that have any."""
     known = trees.filter("host IS NOT NULL AND tree IS NOT NULL").select("host", "id", "tree")
     references_ = known.groupBy("host").agg(F.min(F.struct("id", "tree")).alias("r")).select("host", F.col("r.tree").alias("reference"))
+    references_ = stage(references_, "references")  # written, so that joins with it can be split where a host is hot
     different = known.select("host", "tree").distinct()  # a copy has no vote of its own
     votes = different.join(references_, "host").mapInArrow(_votes, "host string, node long, same long, size long")
     nodes = votes.groupBy("host", "node").agg(F.count("*").alias("n"), F.sum("same").alias("same"), F.sum("size").alias("size"))
@@ -297,8 +299,8 @@ def templates(trees: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Per row ``key, url, text, n_chars``."""
-    found = templates(_trees(pages, key, url, html, False))
+    """Per row ``key, url, text, n_chars``; the templates are made when this is called."""
+    found = stage(templates(_trees(pages, key, url, html, False)), "templates")
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,3 +75,24 @@ def test_pages_of_the_table(spark, sf):
         body = re.search("<article>(.*)</article>", r["html"], re.S)[1].replace("<br>", " ")
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body))
         assert got[r["page_id"]] == "\n".join(b for b in blocks if b)
+
+
+def test_names_of_one_page_are_whole_and_spare_articles():
+    assert text("<div class='has-sidebar menu-open'><article class='post tag-search promo'><p>a</article></div>") == "a"
+    assert text("<form id=page><header>h</header><div class=menu>m</div><section><p>b</section></form>") == "b"
+    assert text("<div class=widget><article>c</article></div><section id=comments><article class=comment>d</article></section>") == "c"
+    long = prose(1, 40)
+    assert text(f"<div><p>{long}</div><article>teaser</article>") == f"{long}\nteaser"
+
+
+def test_votes_decide_before_names(spark):
+    """The main text stands in a plain element, beside teasers in articles; the menu has no name that is known."""
+
+    def page(k):
+        teasers = "".join(f"<article><p>Teaser {j}</article>" for j in range(2))
+        return (f"<body class='postid-{k}'><div class=strip><p>Home<p>News</div><div class='text has-sidebar'><p>{prose(k, 60)}</div>"
+                f"{teasers}<div class='related'><p>see {k}</div></body>")
+
+    rows = [(k, f"http://e.example.org/{k}", page(k)) for k in range(8)]
+    got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {k: prose(k, 60) for k in range(8)}

@@ -1,12 +1,15 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-A page becomes a tree of its block elements. Elements whose tag, role, class or id says that they are menus, headers,
-footers, sidebars, notices, adverts, forms or comments are cut off with all that is in them; if articles (or else a main
-part) are left, only those count. The trees of a host are aligned with one of them, its reference, by simple tree
-matching; every page but copies of another one votes on which of the reference's nodes hold the same text. Nodes that
-are constant in ``CONSTANT`` of at least ``MIN_PAGES`` pages are template and go, everything that varies is content. A host
-whose pages are mostly alike is a set of near copies and no evidence: there, nothing goes. Pages of a host are joined with
-its reference row by row, and votes are summed up before they meet, so a host may hold most of the pages.
+A page becomes the whole tree of its block elements (scripts, styles and the like out). The trees of a host are aligned
+with one of them, its reference, by simple tree matching; every page but copies of another one votes on which of the
+reference's nodes hold the same text. Nodes that are constant in ``CONSTANT`` of at least ``MIN_PAGES`` pages are template
+and go, everything that varies is content, wherever it stands, but for marked slots: elements whose tag, role, or one whole
+class or id says that they are menus, headers, footers, sidebars, notices, adverts, forms or comments. An element that
+holds an article or the main part is never marked, nor is a form that holds sections of the page.
+
+Where votes have no evidence (fewer pages, no host, or pages that are mostly alike: near copies) marks decide alone: unmarked
+text counts, of a main part only what is in it, and only articles where these hold most of that text. Pages of a host are
+joined with its reference row by row, and votes are summed up before they meet, so a host may hold most of the pages.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by line feeds in
 page order, nothing else is left out. A null or empty page gives an empty text; a page without a host (null or odd urls) is
@@ -53,32 +56,56 @@ CUT_NAMES = frozenset(
     "overlay comment comments disqus reply replies share sharing social related recommended recommendations newsletter "
     "subscribe subscription signup login search pagination pager widget toolbar copyright".split()
 )
-#: Cut outside of an article only, where they hold its title.
+#: Marked outside of an article only, where they hold its title.
 HEADERS = frozenset({"header"})
-NAME = re.compile("[a-z0-9]+")
+#: What marks an article: its other names are often those of its subjects.
+REMARKS = frozenset("comment comments reply replies".split())
+#: A form around any of these is the page's own.
+SECTIONS = frozenset("header nav main article section aside footer h1".split())
 
 
 class Node:
-    __slots__ = ("tag", "label", "parts", "article", "main", "cut")
+    """``mark`` is the element's own; ``holds`` an article or main part, ``sections`` sections of the page."""
+
+    __slots__ = ("tag", "label", "parts", "article", "main", "mark", "holds", "sections")
 
-    def __init__(self, tag: str, label: str, article: bool, main: bool, cut: bool):
-        self.tag, self.label, self.article, self.main, self.cut = tag, label, article, main, cut
+    def __init__(self, tag: str, label: str, article: bool, main: bool, mark: bool):
+        self.tag, self.label, self.article, self.main, self.mark = tag, label, article, main, mark
+        self.holds = self.sections = False
         self.parts: list[Node | list[str]] = []
 
+    @property
+    def cut(self) -> bool:
+        return self.mark and not self.holds and not (self.tag == "form" and self.sections)
+
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): references.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
 
-def _open(tag: str, attributes: dict[str, str], inside: Node) -> Node:
-    names = set(NAME.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+def _open(tag: str, attributes: dict[str, str], stack: list[Node]) -> Node:
+    inside = stack[-1]
+    names = set(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split())
     role = attributes.get("role", "").lower()
     whole = tag in ("html", "body")  # their classes name states of the page
-    cut = tag in CUT_TAGS or role in CUT_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
-    cut = cut or "display:none" in attributes.get("style", "").replace(" ", "").lower() or not whole and bool(names & CUT_NAMES)
-    cut = cut or not inside.article and not whole and (tag == "header" or bool(names & HEADERS))
-    article = inside.article or tag == "article" or attributes.get("itemprop") == "articleBody"
-    return Node(tag, f"{tag}.{'.'.join(sorted(names))}", article, inside.main or tag == "main" or role == "main", inside.cut or cut)
+    own, main = tag == "article" or attributes.get("itemprop") == "articleBody", tag == "main" or role == "main"
+    mark = tag in CUT_TAGS or role in CUT_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
+    mark = mark or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+    mark = mark or not whole and bool(names & (REMARKS if own or main else CUT_NAMES))
+    mark = mark or not inside.article and not whole and not own and not main and (tag == "header" or bool(names & HEADERS))
+    if main or own and not mark:
+        for node in reversed(stack):
+            if node.holds:
+                break
+            node.holds = True
+    if tag in SECTIONS:
+        for node in reversed(stack):
+            if node.sections:
+                break
+            node.sections = True
+    # names with digits are those of one page, and so are those of an article's subjects
+    shown = [] if whole or own else sorted(x for x in names if not any(map(str.isdigit, x)))
+    return Node(tag, f"{tag}.{'.'.join(shown)}", inside.article or own, inside.main or main, mark)
 
 
 def parse(page: str) -> Node:
@@ -87,7 +114,7 @@ def parse(page: str) -> Node:
     stack, at = [root], 0
 
     def text(piece: str) -> None:
-        if piece and not stack[-1].cut:
+        if piece:
             parts = stack[-1].parts
             if not parts or isinstance(parts[-1], Node):
                 parts.append([])
@@ -136,47 +163,59 @@ def parse(page: str) -> Node:
                 stack[-1].parts.append(Node(tag, tag, stack[-1].article, stack[-1].main, True))
             continue
         attributes = _attributes(m[3] or m[6] or "")
-        node = _open(tag, attributes, stack[-1])
+        node = _open(tag, attributes, stack)
         stack[-1].parts.append(node)
         if not (m[3] or m[6] or "").endswith("/"):
             stack.append(node)
 
 
-def flatten(root: Node) -> tuple[list[int], list[str], list[str]]:
-    """Parents, labels and texts of the content's nodes in page order; the first node is the root.
+#: What a node is: in a marked element; unmarked; of these, what counts where there are no votes.
+MARKED, OPEN, ALONE = "012"
+
+
+def flatten_all(root: Node) -> tuple[list[int], list[str], list[str], list[str]]:
+    """Parents, labels, texts and kinds of all nodes in page order; the first node is the root.
 
     An element with one run of text and no blocks has it as its own; other runs are nodes of their own.
     """
-    nodes, order = [], [(root, -1)]
+    nodes, order = [], [(root, -1, root, False)]
     while order:  # in page order
-        node, parent = order.pop()
+        node, parent, holder, marked = order.pop()
         if isinstance(node, list):
-            nodes.append((parent, "#", " ".join("".join(node).split()), None))
-            continue
-        if node.cut:
+            nodes.append((parent, "#", " ".join("".join(node).split()), holder, marked))
             continue
+        marked = marked and not node.holds or node.cut
         own = len(nodes)
         runs = [p for p in node.parts if isinstance(p, Node) or any(x.strip() for x in p)]
         if len(runs) == 1 and isinstance(runs[0], list):
-            nodes.append((parent, node.label, " ".join("".join(runs[0]).split()), node))
+            nodes.append((parent, node.label, " ".join("".join(runs[0]).split()), node, marked))
         else:
-            nodes.append((parent, node.label, "", node))
-            order += ((p, own) for p in reversed(runs))
-    holders = [n[3] if n[3] is not None else nodes[n[0]][3] for n in nodes]
-    for inside in ("article", "main"):
-        if any(n[2] and getattr(h, inside) for n, h in zip(nodes, holders, strict=True)):
-            nodes = [(p, label, text if getattr(h, inside) else "", n) for (p, label, text, n), h in zip(nodes, holders, strict=True)]
-            break
-    return [n[0] for n in nodes], [n[1] for n in nodes], [n[2] for n in nodes]
+            nodes.append((parent, node.label, "", node, marked))
+            order += ((p, own, node, marked) for p in reversed(runs))
+    counts = [not n[4] for n in nodes]
+    size = lambda chosen: sum(len(n[2]) for n, c in zip(nodes, chosen, strict=True) if c)
+    inside = [c and n[3].main for n, c in zip(nodes, counts, strict=True)]
+    counts = inside if size(inside) else counts
+    inside = [c and n[3].article for n, c in zip(nodes, counts, strict=True)]
+    counts = inside if 2 * size(inside) > size(counts) else counts
+    kinds = [MARKED if n[4] else ALONE if c else OPEN for n, c in zip(nodes, counts, strict=True)]
+    return [n[0] for n in nodes], [n[1] for n in nodes], [n[2] for n in nodes], kinds
+
+
+def flatten(root: Node) -> tuple[list[int], list[str], list[str]]:
+    """Parents, labels and texts of the nodes, with the texts that count where there are no votes."""
+    parents, labels, texts, kinds = flatten_all(root)
+    return parents, labels, [t if k == ALONE else "" for t, k in zip(texts, kinds, strict=True)]
 
 
 def _number(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode()) >> 1
 
 
-def pack_tree(parents: list[int], labels: list[str], texts: list[str]) -> bytes:
-    """Parent, label hash, text hash and text length of each node."""
-    rows = [[p + 1 for p in parents], [_number(x) for x in labels], [_number(x) if x else 0 for x in texts], [len(x) for x in texts]]
+def pack_tree(parents: list[int], labels: list[str], texts: list[str], kinds: list[str] | None = None) -> bytes:
+    """Parent, label hash, text hash and length of unmarked text of each node."""
+    sizes = [0 if k == MARKED else len(x) for x, k in zip(texts, kinds or [OPEN] * len(texts), strict=True)]
+    rows = [[p + 1 for p in parents], [_number(x) for x in labels], [_number(x) if x else 0 for x in texts], sizes]
     return pa.compress(np.array(rows, np.int64).tobytes(), "zstd", asbytes=True) + len(parents).to_bytes(4, "little")
 
 
@@ -243,16 +282,17 @@ def _host(url: str):
 
 
 def _trees(pages: DataFrame, key: str, url: str, html: str, blocks: bool) -> DataFrame:
-    """``id, url, host, tree`` and, if asked for, the compressed ``blocks`` of every page; trees are null without any text."""
+    """``id, url, host, tree`` and, if asked for, the compressed ``blocks`` of every page (a line of kinds, then the texts);
+    trees are null without any text."""
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in W.blocks(batches, "html", W.BLOCK_BYTES // 4):
             trees, bodies = [], []
             for page in block.column("html").to_pylist():
-                parents, labels, texts = flatten(parse(page or ""))
-                trees.append(pack_tree(parents, labels, texts) if any(texts) else None)
-                body = "\n".join(texts).encode()
+                parents, labels, texts, kinds = flatten_all(parse(page or ""))
+                trees.append(pack_tree(parents, labels, texts, kinds) if any(texts) else None)
+                body = "\n".join(["".join(kinds), *texts]).encode() if any(texts) else b""
                 bodies.append(len(body).to_bytes(4, "little") + (pa.compress(body, "zstd", asbytes=True) if body else b""))
             columns = [block.column(c) for c in ("id", "url", "host")] + [pa.array(trees, pa.binary())]
             names = ["id", "url", "host", "tree"]
@@ -309,8 +349,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
             columns = (batch.column(c).to_pylist() for c in ("tree", "blocks", "reference", "constant"))
             for tree, blocks, reference, constant in zip(*columns, strict=True):
                 size = int.from_bytes(blocks[:4], "little")
-                lines = pa.decompress(blocks[4:], size, "zstd", asbytes=True).decode().split("\n") if size else []
-                if constant and tree:
+                kinds, *lines = pa.decompress(blocks[4:], size, "zstd", asbytes=True).decode().split("\n") if size else [""]
+                voted = constant is not None and tree is not None
+                lines = [t if k == ALONE or voted and k == OPEN else "" for t, k in zip(lines, kinds, strict=True)]
+                if voted:
                     gone = set(constant)
                     for x, y in match(Tree(tree), Tree(reference))[1]:
                         if y in gone:

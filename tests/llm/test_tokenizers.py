@@ -177,3 +177,31 @@ def test_documents_take_different_variants(spark):
     text = prose(9, 300)
     rows = P.encode(spark.createDataFrame([(k, text) for k in range(40)], "doc_id long, text string"), dropout=0.3).collect()
     assert len({tuple(r["piece_ids"]) for r in rows}) == 4
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(TEXTS, st.text(max_size=12), st.none()), max_size=12), st.sampled_from([0.0, 0.2, 0.5, 1.0]))
+def test_occurrences_found_together_are_those_found_one_by_one(vocabulary, texts, dropout):
+    encoder, decoder = P.Encoder(vocabulary, dropout, variants=None), P.Decoder(vocabulary)
+    texts = [*texts, "the thing and the thing " * 4, "x" * 70 + " the"]
+    for _ in range(2):  # the second time by the paths that are kept
+        ids = encoder.encode_each(texts, list(range(len(texts))))
+        assert ids == [None if t is None else encoder.encode_here(t, k) for k, t in enumerate(texts)]
+    assert all(t is None or decoder.decode(i) == t for t, i in zip(texts, ids))
+
+
+def test_every_occurrence_has_its_own_skips(spark, sf):
+    from tidewatch.llm.queries import QUERIES
+
+    text = prose(9, 300)
+    df = spark.createDataFrame([(k, text) for k in range(40)], "doc_id long, text string")
+    rows = P.encode(df, dropout=0.3, variants=None).collect()
+    assert len({tuple(r["piece_ids"]) for r in rows}) == 40
+    assert rows == P.encode(df.repartition(3), dropout=0.3, variants=None).orderBy("doc_id").collect()
+    encoder = P.Encoder(Vocabulary.load(), 0.25, variants=None)
+    found = set(encoder.encode_each(["\nth" * 4000], [1])[0][1:])
+    assert len(found) > 3  # a line feed, "th", and its parts
+    got = {r["doc_id"]: r["piece_ids"] for r in QUERIES["op7_pieces"](spark, sf).collect()}
+    encoder = P.Encoder(Vocabulary.load(), variants=None)
+    for r in spark.read.parquet(f"{sf}/documents.parquet").limit(20).collect():
+        assert got[r["doc_id"]] == encoder.encode_here(r["text"], r["doc_id"])

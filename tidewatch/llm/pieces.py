@@ -2,10 +2,14 @@
 
 Encoding is byte-pair merging by an agenda: pairs of neighbours whose union is a piece wait in order of score, then
 place; the first one merges, unless a keyed hash skips it (``dropout`` of the time), and its new neighbours join the
-agenda. Short segments take these steps together, in arrays. A skipped pair comes back only as part of a new pair. The key is made of the seed, the document's
-``variant`` (a hash of its id, below ``variants``), the segment, and the pair's place, so a run can be repeated
-anywhere, and segments are worth keeping: each task keeps up to a million. Without dropout the result is the
-tokenizer's own.
+agenda. Short segments take these steps together, in arrays. A skipped pair comes back only as part of a new pair. Without
+dropout the result is the tokenizer's own. A run can be repeated anywhere, as the key is made of
+
+- with ``variants=None``: the seed, the whole document id, and the pair's place in the text, so that every occurrence of a
+  word has skips of its own. What needs no key is kept by each task: the pairs that a segment tries after given skips, and
+  the pieces it ends with. Occurrences look up their first skip among these pairs, and go on from there.
+- with a number of ``variants``: the seed, the document's ``variant`` (a hash of its id, below that number), the segment and
+  the place inside it. Whole segments are kept, and a segment has no more than that number of results.
 
 Characters that are no piece become their UTF-8 bytes; so does the sign by which pieces write a space. Decoding gives
 every text back unchanged. A null text has null ids, an empty one has none. Null ids of documents are a key like
@@ -16,10 +20,11 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -33,25 +38,33 @@ _MASK = (1 << 64) - 1
 _MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.inf
+#: Above the number of steps of a segment of ``LONGEST`` characters, and paths that a task keeps.
+_STEPS, PATHS = 1 << 10, 500_000
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = VARIANTS):
         self.ids, self.bytes_, self.variants = vocabulary.ids, vocabulary.bytes_, variants
         self.rank = {piece: -score for piece, score in vocabulary.scores.items()}
         self.limit, self.seed = int(dropout * (1 << 64)), seed
         self.known: dict[int, dict[str, list[int]]] = {}
         self.table = Table(vocabulary)
+        self.paths = Paths()
 
     def variant(self, key: object) -> int:
         return zlib.crc32(f"{self.seed}:{key}".encode()) % self.variants
 
+    def _key(self, text: str, variant: int) -> int:
+        return ((zlib.crc32(text.encode()) << 32 | self.seed & 0xFFFFFFFF) + variant * 0x9E3779B97F4A7C15) & _MASK
+
     def segment(self, text: str, variant: int) -> list[int]:
+        return self._one(text, self._key(text, variant))
+
+    def _one(self, text: str, key: int) -> list[int]:
         size, rank, limit = len(text), self.rank, self.limit
         whole = self.ids.get(text)
         if whole is not None and (not limit or size == 1):
             return [whole]
-        key = ((zlib.crc32(text.encode()) << 32 | self.seed & 0xFFFFFFFF) + variant * 0x9E3779B97F4A7C15) & _MASK
         end, before = list(range(1, size + 1)), list(range(-1, size - 1))
         agenda = []
         for i in range(size - 1):
@@ -90,7 +103,11 @@ class Encoder:
         return out
 
     def segments(self, texts: list[str], variant: int) -> list[list[int]]:
-        """``segment`` of many segments: short ones of like length take each step of their agendas together."""
+        """``segment`` of many segments."""
+        return self._many(texts, np.fromiter((self._key(t, variant) for t in texts), np.uint64, len(texts)))
+
+    def _many(self, texts: list[str], keys: np.ndarray) -> list[list[int]]:
+        """``_one`` of many segments: short ones of like length take each step of their agendas together."""
         out: list[list[int]] = [[]] * len(texts)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         order = np.argsort(sizes, kind="stable")
@@ -98,17 +115,19 @@ class Encoder:
         while at < len(order):
             widest = int(sizes[order[min(at + TOGETHER, len(order)) - 1]])
             if sizes[order[at]] > LONGEST:
-                out[order[at]] = self.segment(texts[order[at]], variant)
+                out[order[at]] = self._one(texts[order[at]], int(keys[order[at]]))
                 at += 1
                 continue
             upto = min(at + TOGETHER, int(np.searchsorted(sizes[order], min(max(2 * int(sizes[order[at]]), 8), widest, LONGEST), "right")))
             part = order[at:upto].tolist()
-            for i, ids in zip(part, self._together([texts[i] for i in part], variant), strict=True):
+            skips = lambda live, _, places, keys=keys[order[at:upto]]: self._skips(keys[live], places)
+            for i, ids in zip(part, self._together([texts[i] for i in part], skips), strict=True):
                 out[i] = ids
             at = upto
         return out
 
-    def _together(self, texts: list[str], variant: int) -> Iterator[list[int]]:
+    def _together(self, texts: list[str], skips: Callable[[np.ndarray, int, np.ndarray], np.ndarray]) -> Iterator[list[int]]:
+        """``skips`` tells of rows, the number of their step and the places of its pairs, which are skipped."""
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         n, width = len(texts), int(sizes.max())
         inside = np.arange(width) < sizes[:, None]
@@ -130,16 +149,15 @@ class Encoder:
         rank = np.full((n, width), _NONE)
         rows, lefts = np.nonzero(starts + 1 < sizes[:, None])
         rank[rows, lefts] = look(rows, lefts, lefts + 2)[0]
-        keys = np.fromiter((zlib.crc32(t.encode()) for t in texts), np.uint64, n) << np.uint64(32) | np.uint64(self.seed & 0xFFFFFFFF)
-        keys += np.uint64(variant * 0x9E3779B97F4A7C15 & _MASK)
-        live = every
+        live, step = every, 0
         while len(live):
             left = rank[live].argmin(axis=1)
             going = rank[live, left] < _NONE
             live, left = live[going], left[going]
             middle = end[live, left]
             right = end[live, middle]
-            skipped = self._skips(keys[live], left, middle, right)
+            skipped = skips(live, step, left << 40 | middle << 20 | right)
+            step += 1
             rank[live[skipped], left[skipped]] = _NONE
             row, left, middle, right = (x[~skipped] for x in (live, left, middle, right))
             end[row, left], end[row, middle], rank[row, middle], rank[row, left] = right, -1, _NONE, _NONE
@@ -163,10 +181,10 @@ class Encoder:
             else:
                 yield flat[a:b]
 
-    def _skips(self, keys: np.ndarray, left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
+    def _skips(self, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
         if not 0 < self.limit <= _MASK:
             return np.full(len(keys), self.limit > 0)
-        h = (keys ^ (left << 40 | middle << 20 | right).astype(np.uint64)) * np.uint64(_MIX[0])
+        h = (keys ^ places.astype(np.uint64)) * np.uint64(_MIX[0])
         h = (h ^ h >> np.uint64(32)) * np.uint64(_MIX[1])
         return (h ^ h >> np.uint64(32)) < np.uint64(self.limit)
 
@@ -191,10 +209,125 @@ class Encoder:
             out.append(ids)
         return out
 
+    def _document(self, key: object) -> int:
+        return xxhash.xxh64_intdigest(f"{self.seed}:{key}".encode())
+
+    def encode_here(self, text: str, key: object) -> list[int]:
+        """The ids of the text of the document ``key``, each occurrence of a segment by itself."""
+        out, at, document = [], 0, self._document(key)
+        for part in segments(text):
+            out += self._one(part, (document + at * int(_BASE)) & _MASK)
+            at += len(part)
+        return out
+
+    def encode_each(self, texts: list[str | None], keys: list) -> list[list[int] | None]:
+        """``encode_here`` of each text, for all texts at once."""
+        rows = [[] if t is None else segments(t) for t in texts]
+        flat = [p for parts in rows for p in parts]
+        sizes, counts = np.fromiter(map(len, flat), np.int64, len(flat)), np.fromiter(map(len, rows), np.int64, len(rows))
+        begins = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(flat) else sizes
+        firsts = np.cumsum(counts) - counts
+        row_of = np.repeat(np.arange(len(rows)), counts)
+        offsets = (begins - begins[firsts[row_of]]).astype(np.uint64)
+        own = np.fromiter((self._document(k) for k in keys), np.uint64, len(keys))[row_of] + offsets * _BASE
+        out: list[list[int]] = [[]] * len(flat)
+        for i in np.flatnonzero(sizes > LONGEST).tolist():
+            out[i] = self._one(flat[i], int(own[i]))
+        if len(self.paths.ids) >= PATHS:
+            self.paths = Paths()
+        paths = self.paths
+        new = list({p for p in flat if p not in paths.whole and len(p) <= LONGEST})
+        paths.whole.update(zip(new, self._follow(new, [()] * len(new)), strict=True))
+        left = np.flatnonzero(sizes <= LONGEST)
+        path = np.fromiter((paths.whole[flat[i]] for i in left.tolist()), np.int64, len(left))
+        since = np.zeros(len(left), np.int64)
+        while len(left):
+            skip = self._first_skip(path, since, own[left])
+            none = skip < 0
+            for i, k in zip(left[none].tolist(), path[none].tolist(), strict=True):
+                out[i] = paths.ids[k]
+            left, path, skip = left[~none], path[~none], skip[~none]
+            after, example, which, n = np.unique(path * _STEPS + skip, return_index=True, return_inverse=True, return_counts=True)
+            known = np.fromiter((paths.after.get(k, -1) for k in after.tolist()), np.int64, len(after))
+            new = np.flatnonzero((known < 0) & (n > 1))
+            skips = [(*paths.skips[path[e]], int(skip[e])) for e in example[new].tolist()]
+            known[new] = self._follow([flat[left[e]] for e in example[new].tolist()], skips)
+            paths.after.update(zip(after[new].tolist(), known[new].tolist(), strict=True))
+            path, since = known[which], skip + 1
+            alone = path < 0  # no other occurrence here took this turn: it goes to its end at once
+            for i, ids in zip(left[alone].tolist(), self._many([flat[i] for i in left[alone].tolist()], own[left[alone]]), strict=True):
+                out[i] = ids
+            left, path, since = left[~alone], path[~alone], since[~alone]
+        ends = np.cumsum(counts).tolist()
+        joined = ([x for ids in out[a:b] for x in ids] for a, b in zip(firsts.tolist(), ends, strict=True))
+        return [None if t is None else ids for t, ids in zip(texts, joined, strict=True)]
+
+    def _first_skip(self, path: np.ndarray, since: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The first step of each path, from step ``since`` on, that the key skips; -1 if there is none."""
+        starts, sizes, places = self.paths.arrays()
+        n = np.maximum(sizes[path] - since, 0)
+        rows = np.repeat(np.arange(len(path)), n)
+        steps = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n) + since[rows]
+        hits = np.flatnonzero(self._skips(keys[rows], places[starts[path][rows] + steps]))[::-1]
+        first = np.full(len(path), -1)
+        first[rows[hits]] = steps[hits]  # of equal rows the last one counts
+        return first
+
+    def _follow(self, texts: list[str], skips: list[tuple[int, ...]]) -> list[int]:
+        """The numbers of new paths: of each text, when just the given steps are skipped."""
+        numbers = [0] * len(texts)
+        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+        for at in range(0, len(order), TOGETHER):
+            part = order[at : at + TOGETHER]
+            pairs = [(r, s) for r, i in enumerate(part) for s in skips[i]]
+            gone = np.zeros((len(part), max((s + 1 for _, s in pairs), default=0)), bool)
+            if pairs:
+                gone[tuple(np.array(pairs).T)] = True
+            taken: list[tuple[np.ndarray, np.ndarray]] = []
+
+            def given(live: np.ndarray, step: int, places: np.ndarray, gone=gone, taken=taken) -> np.ndarray:
+                taken.append((live, places))
+                return gone[live, step] if step < gone.shape[1] else np.zeros(len(live), bool)
+
+            ids = list(self._together([texts[i] for i in part], given))
+            rows = np.concatenate([r for r, _ in taken]) if taken else np.zeros(0, np.int64)
+            places = np.concatenate([p for _, p in taken]) if taken else np.zeros(0, np.int64)
+            places = places[np.argsort(rows, kind="stable")]
+            numbers_here = self.paths.add(ids, [skips[i] for i in part], np.bincount(rows, minlength=len(part)), places)
+            for i, k in zip(part, numbers_here, strict=True):
+                numbers[i] = k
+        return numbers
+
     def encode(self, text: str, variant: int) -> list[int]:
         return [x for part in segments(text) for x in self.segment(part, variant)]
 
 
+class Paths:
+    """The steps that segments take, by the skips among them; nothing here depends on a key."""
+
+    def __init__(self):
+        self.whole: dict[str, int] = {}  # of a segment, without skips
+        self.after: dict[int, int] = {}  # of a path and the step skipped in it
+        self.ids: list[list[int]] = []
+        self.skips: list[tuple[int, ...]] = []
+        self.sizes = self.places = np.zeros(0, np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
+        self.starts = self.sizes
+
+    def add(self, ids: list[list[int]], skips: list[tuple[int, ...]], sizes: np.ndarray, places: np.ndarray) -> range:
+        self.ids += ids
+        self.skips += skips
+        self.new.append((sizes, places))
+        return range(len(self.ids) - len(ids), len(self.ids))
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.new:
+            self.sizes = np.concatenate([self.sizes, *(s for s, _ in self.new)])
+            self.places = np.concatenate([self.places, *(p for _, p in self.new)])
+            self.starts, self.new = np.cumsum(self.sizes) - self.sizes, []
+        return self.starts, self.sizes, self.places
+
+
 class Table:
     """Pieces by the hash of their characters: a polynomial modulo 2**64, so that of a part follows from prefixes."""
 
@@ -244,7 +377,7 @@ def _lists(rows: list[list[int] | None]) -> pa.Array:
 
 def encode(
     docs: DataFrame, model: str = MODEL, key: str = "doc_id", text: str = "text",
-    dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
+    dropout: float = DROPOUT, seed: int = SEED, variants: int | None = VARIANTS,
 ) -> DataFrame:
     """All rows and columns, with ``piece_ids``, ``n_pieces`` and ``lossless`` (the ids decode to the text).
 
@@ -263,7 +396,7 @@ def encode(
         encoder, decoder = Encoder(shared.value, dropout, seed, variants), Decoder(shared.value)
         for block in W.blocks(batches, text, W.BLOCK_BYTES // 4):
             texts = block.column(text).to_pylist()
-            ids = encoder.encode_all(texts, block.column(key).to_pylist())
+            ids = (encoder.encode_each if variants is None else encoder.encode_all)(texts, block.column(key).to_pylist())
             lossless = [None if t is None else decoder.decode(i) == t for t, i in zip(texts, ids, strict=True)]
             counts = [0 if i is None else len(i) for i in ids]
             columns = [_lists(ids), pa.array(counts, pa.int64()), pa.array(lossless, pa.bool_())]

@@ -165,7 +165,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), variants=None).select(
         "doc_id", "n_pieces", "piece_ids", "lossless"
     )
 

@@ -96,3 +96,9 @@ def test_votes_decide_before_names(spark):
     rows = [(k, f"http://e.example.org/{k}", page(k)) for k in range(8)]
     got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: r["text"] for r in got} == {k: prose(k, 60) for k in range(8)}
+
+
+def test_open_ends_do_not_cut_a_page():
+    assert text("<p>a<svg class='icon'/>b</p><svg><text>no</text></svg><p>c") == "ab\nc"
+    assert text("<p>a<svg class=x>b<p>c") == "ab\nc" and text("<noscript><p>d<template><p>e") == "d\ne"
+    assert text("<p>f<noscript>no</noscript>g<script>no") == "fg"

@@ -36,6 +36,8 @@ CONSTANT, MIN_PAGES = 0.9, 5
 TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)""", re.DOTALL)
 ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "noscript", "textarea", "title", "iframe", "template", "svg")}
+#: Of these, the ones whose tag is ignored if they have no end.
+SPARED = frozenset("noscript svg template".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong "
@@ -111,7 +113,7 @@ def _open(tag: str, attributes: dict[str, str], stack: list[Node]) -> Node:
 def parse(page: str) -> Node:
     """The tree of block elements; text runs stand between them, as lists of pieces."""
     root = Node("", "", False, False, False)
-    stack, at = [root], 0
+    stack, at, endless = [root], 0, set()
 
     def text(piece: str) -> None:
         if piece:
@@ -142,7 +144,12 @@ def parse(page: str) -> Node:
                         break
             continue
         if tag in RAW:
+            if tag == "svg" and (m[3] or m[6] or "").endswith("/") or tag in endless:
+                continue
             end = RAW[tag].search(page, at)
+            if end is None and tag in SPARED:
+                endless.add(tag)  # there is none further on, either
+                continue
             at = end.end() if end else len(page)
             continue
         if tag == "br":

@@ -102,3 +102,14 @@ def test_open_ends_do_not_cut_a_page():
     assert text("<p>a<svg class='icon'/>b</p><svg><text>no</text></svg><p>c") == "ab\nc"
     assert text("<p>a<svg class=x>b<p>c") == "ab\nc" and text("<noscript><p>d<template><p>e") == "d\ne"
     assert text("<p>f<noscript>no</noscript>g<script>no") == "fg"
+
+
+def test_template_of_short_articles_and_of_each_layout(spark):
+    """Unmarked menus outweigh the articles, and pages have two layouts, of which an odd page comes first."""
+    menu = "<div class=strip>" + "".join(f"<p>{prose(900 + j, 30)}" for j in range(5)) + "</div>"
+    one = lambda k: f"<body>{menu}<div><p>{prose(k, 12)}</div></body>"
+    two = lambda k: f"<body><table><tr><td>Archive<td>{prose(k, 12)}</table>{menu}</body>"
+    rows = [(k, "http://s.example.org/", one(k)) for k in range(8)] + [(20 + k, "http://s.example.org/", two(20 + k)) for k in range(8)]
+    rows += [(-1, "http://s.example.org/", "<body><h2>Not found</h2></body>")]
+    got = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{k: prose(k, 12) for k in [*range(8), *range(20, 28)]}, -1: "Not found"}

@@ -1,15 +1,16 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-A page becomes the whole tree of its block elements (scripts, styles and the like out). The trees of a host are aligned
-with one of them, its reference, by simple tree matching; every page but copies of another one votes on which of the
+A page becomes the whole tree of its block elements (scripts, styles and the like out). Pages of a host with the same set of
+label paths are a layout; layouts of under ``MIN_PAGES`` different pages go with the host's largest one. The trees of a layout
+are aligned with one of them, its reference, by simple tree matching; every page but copies of another one votes on which of the
 reference's nodes hold the same text. Nodes that are constant in ``CONSTANT`` of at least ``MIN_PAGES`` pages are template
 and go, everything that varies is content, wherever it stands, but for marked slots: elements whose tag, role, or one whole
 class or id says that they are menus, headers, footers, sidebars, notices, adverts, forms or comments. An element that
 holds an article or the main part is never marked, nor is a form that holds sections of the page.
 
-Where votes have no evidence (fewer pages, no host, or pages that are mostly alike: near copies) marks decide alone: unmarked
+Where votes have no evidence (fewer pages, no host, or no unmarked text that varies: near copies) marks decide alone: unmarked
 text counts, of a main part only what is in it, and only articles where these hold most of that text. Pages of a host are
-joined with its reference row by row, and votes are summed up before they meet, so a host may hold most of the pages.
+joined with their reference row by row, and votes are summed up before they meet, so a host may hold most of the pages.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by line feeds in
 page order, nothing else is left out. A null or empty page gives an empty text; a page without a host (null or odd urls) is
@@ -219,6 +220,18 @@ def _number(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode()) >> 1
 
 
+def layout(parents: list[int], labels: list[str]) -> int:
+    """A hash of the set of label paths."""
+    paths: list[int] = []
+    known: dict[tuple[int, str], int] = {}
+    for parent, label in zip(parents, labels, strict=True):
+        step = (paths[parent] if parent >= 0 else 0, label)
+        if step not in known:
+            known[step] = _number(f"{step[0]} {label}")
+        paths.append(known[step])
+    return _number(" ".join(map(str, sorted(set(known.values())))))
+
+
 def pack_tree(parents: list[int], labels: list[str], texts: list[str], kinds: list[str] | None = None) -> bytes:
     """Parent, label hash, text hash and length of unmarked text of each node."""
     sizes = [0 if k == MARKED else len(x) for x, k in zip(texts, kinds or [OPEN] * len(texts), strict=True)]
@@ -289,60 +302,79 @@ def _host(url: str):
 
 
 def _trees(pages: DataFrame, key: str, url: str, html: str, blocks: bool) -> DataFrame:
-    """``id, url, host, tree`` and, if asked for, the compressed ``blocks`` of every page (a line of kinds, then the texts);
+    """``id, url, host, layout, tree`` and, if asked for, the compressed ``blocks`` of every page (a line of kinds, then the texts);
     trees are null without any text."""
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in W.blocks(batches, "html", W.BLOCK_BYTES // 4):
-            trees, bodies = [], []
+            trees, layouts, bodies = [], [], []
             for page in block.column("html").to_pylist():
                 parents, labels, texts, kinds = flatten_all(parse(page or ""))
                 trees.append(pack_tree(parents, labels, texts, kinds) if any(texts) else None)
+                layouts.append(layout(parents, labels))
                 body = "\n".join(["".join(kinds), *texts]).encode() if any(texts) else b""
                 bodies.append(len(body).to_bytes(4, "little") + (pa.compress(body, "zstd", asbytes=True) if body else b""))
-            columns = [block.column(c) for c in ("id", "url", "host")] + [pa.array(trees, pa.binary())]
-            names = ["id", "url", "host", "tree"]
+            columns = [block.column(c) for c in ("id", "url", "host")] + [pa.array(layouts, pa.int64()), pa.array(trees, pa.binary())]
+            names = ["id", "url", "host", "layout", "tree"]
             if blocks:
                 columns, names = [*columns, pa.array(bodies, pa.binary())], [*names, "blocks"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = pages.select(F.col(key).alias("id"), F.col(url).alias("url"), _host(url).alias("host"), F.col(html).alias("html"))
-    return rows.mapInArrow(run, f"id {kind}, url string, host string, tree binary" + ", blocks binary" * blocks)
+    return rows.mapInArrow(run, f"id {kind}, url string, host string, layout long, tree binary" + ", blocks binary" * blocks)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page and node of its reference: whether their texts are equal, and how long the page's is."""
+    """Per page and node of its reference: whether their texts are equal, and how long the page's unmarked one is.
+
+    Node -1 has the text of what matches no node of the reference.
+    """
     for batch in batches:
         rows, last, reference = [], None, None
-        for host, tree, packed in zip(*(batch.column(c).to_pylist() for c in ("host", "tree", "reference")), strict=True):
+        for host, shape, tree, packed in zip(*(batch.column(c).to_pylist() for c in ("host", "wrapper", "tree", "reference")), strict=True):
             if packed != last:
                 last, reference = packed, Tree(packed)
             page = Tree(tree)
+            pairs = match(page, reference)[1]
             rows += (
-                (host, y, int(page.texts[x] == reference.texts[y]), page.sizes[x])
-                for x, y in match(page, reference)[1] if page.texts[x] or reference.texts[y]
+                (host, shape, y, int(page.texts[x] == reference.texts[y]), page.sizes[x])
+                for x, y in pairs if page.texts[x] or reference.texts[y]
             )
+            rows.append((host, shape, -1, 0, sum(page.sizes) - sum(page.sizes[x] for x, _ in pairs)))
         if rows:
-            names = ["host", "node", "same", "size"]
+            names = ["host", "wrapper", "node", "same", "size"]
             columns = zip(names, zip(*rows, strict=True), strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n == "host" else pa.int64()) for n, c in columns], names)
 
 
 def templates(trees: DataFrame) -> DataFrame:
-    """``host, reference, constant``: the template nodes of each host's reference page, for hosts that have any."""
-    known = trees.filter("host IS NOT NULL AND tree IS NOT NULL").select("host", "id", "tree")
-    references_ = known.groupBy("host").agg(F.min(F.struct("id", "tree")).alias("r")).select("host", F.col("r.tree").alias("reference"))
-    references_ = stage(references_, "references")  # written, so that joins with it can be split where a host is hot
-    different = known.select("host", "tree").distinct()  # a copy has no vote of its own
-    votes = different.join(references_, "host").mapInArrow(_votes, "host string, node long, same long, size long")
-    nodes = votes.groupBy("host", "node").agg(F.count("*").alias("n"), F.sum("same").alias("same"), F.sum("size").alias("size"))
-    constant = (F.col("n") >= MIN_PAGES) & (F.col("same") >= CONSTANT * F.col("n"))
-    hosts = nodes.groupBy("host").agg(
+    """``host, layout, reference, constant``: the template nodes of each layout's reference page, where votes have evidence."""
+    known = stage(trees.filter("host IS NOT NULL AND tree IS NOT NULL").select("host", "layout", "id", "tree"), "trees")
+    different = known.select("host", "layout", F.xxhash64("tree").alias("tree")).distinct()
+    # written, so that joins with them can be split where a host is hot
+    layouts = stage(different.groupBy("host", "layout").agg(F.count("*").alias("n")), "layouts")
+    largest = layouts.groupBy("host").agg(F.max(F.struct("n", "layout")).alias("most"))
+    largest = stage(largest.select("host", F.col("most.layout").alias("largest")), "largest")
+    wrapper = F.when(F.col("n") >= MIN_PAGES, F.col("layout")).otherwise(F.col("largest")).alias("wrapper")
+    layouts = stage(layouts.join(largest, "host").select("host", "layout", wrapper), "wrappers")
+    first = known.groupBy("host", "layout").agg(F.min(F.struct("id", "tree")).alias("r"))
+    first = first.select("host", F.col("layout").alias("wrapper"), F.col("r.tree").alias("reference"))
+    references_ = stage(first.join(layouts.select("host", "wrapper").distinct(), ["host", "wrapper"]), "references")
+
+    different = known.select("host", "layout", "tree").distinct()  # a copy has no vote of its own
+    votes = different.join(layouts, ["host", "layout"]).join(references_, ["host", "wrapper"])
+    votes = votes.mapInArrow(_votes, "host string, wrapper long, node long, same long, size long")
+    nodes = votes.groupBy("host", "wrapper", "node").agg(F.count("*").alias("n"), F.sum("same").alias("same"), F.sum("size").alias("size"))
+    constant = (F.col("node") >= 0) & (F.col("n") >= MIN_PAGES) & (F.col("same") >= CONSTANT * F.col("n"))
+    found = nodes.groupBy("host", "wrapper").agg(
         F.array_compact(F.collect_list(F.when(constant, F.col("node")))).alias("constant"),
-        F.sum(F.when(constant, F.col("size")).otherwise(0)).alias("fixed"), F.sum("size").alias("all"),
+        F.sum(F.when(constant, 0).otherwise(F.col("size"))).alias("varying"),
+        F.max(F.when(F.col("node") < 0, F.col("n"))).alias("pages"),
     )
-    return hosts.filter((F.size("constant") > 0) & (2 * F.col("fixed") < F.col("all"))).join(references_, "host").select("host", "reference", "constant")
+    found = found.filter((F.col("pages") >= MIN_PAGES) & (F.col("varying") > 0))
+    found = stage(found.join(references_, ["host", "wrapper"]).select("host", "wrapper", "reference", "constant"), "found")
+    return layouts.join(found, ["host", "wrapper"]).select("host", "layout", "reference", "constant")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -368,5 +400,5 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
             lengths = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), lengths], [key, "url", "text", "n_chars"])
 
-    rows = _trees(pages, key, url, html, True).join(found, "host", "left")
+    rows = _trees(pages, key, url, html, True).join(found, ["host", "layout"], "left")
     return rows.mapInArrow(run, f"`{key}` {kind}, url string, text string, n_chars long")

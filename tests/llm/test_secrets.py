@@ -86,3 +86,11 @@ def test_edges_and_masks(spark, edge, edge_rows, nothing):
     want = 'é [SECRET]" x secret:short [SECRET].'
     assert masked == {1: (want, len(want)), 2: (None, 7), 3: ("plain", 5)}
     assert S.redact(edge).columns == edge.columns and S.redact(edge).count() == len(edge_rows)
+
+
+def test_a_run_that_fixed_spans_do_not_cover_is_tested_whole():
+    part = "0123456789abcdef01234567"
+    run = "Zq7xT" + part + "Kp9Lw2RvYb"
+    for text, want in ((run, [("hex", 5, 29), ("random", 0, 39)]), (part, [("hex", 0, 24)]), (f"token={run}", [("assign", 0, 45), ("hex", 11, 35)])):
+        limits = {(name, size): 0.0 for name in S.ALPHABETS for size in range(S.LAST + 1)}
+        assert sorted(S._spans(pa.array(["x", text]), limits)[1]) == sorted(want)

@@ -1,7 +1,7 @@
 """Secret scans: three fixed patterns, and a battery of randomness tests under false-discovery control.
 
 Fixed kinds are assignments, access keys and long hexadecimal strings. The method adds ``random`` spans: runs of
-``MIN_RANDOM`` or more characters of an encoding's alphabet that no fixed span touches and that look drawn at random.
+``MIN_RANDOM`` or more characters of an encoding's alphabet that fixed spans do not cover and that look drawn at random.
 For each run the encoding is inferred from its characters, and three tests ask whether its symbols are
 
 - uniform over the alphabet (chi-squared, scaled by its exact mean and variance, since runs are short),
@@ -101,7 +101,7 @@ def p_random(run: str, name: str) -> float:
 
 
 def _scan(column: pa.Array) -> tuple[dict[int, list[Span]], dict[int, list[tuple[int, int, str, int, float]]]]:
-    """Fixed spans, and runs ``(start, end, encoding, class of length, p)`` that touch none, by row.
+    """Fixed spans, and runs ``(start, end, encoding, class of length, p)`` that they do not cover, by row.
 
     Only words of at least 20 bytes can hold a key or a run, and only texts with ``:`` or ``=`` an assignment.
     """
@@ -128,7 +128,11 @@ def _scan(column: pa.Array) -> tuple[dict[int, list[Span]], dict[int, list[tuple
     for row, hits in found.items():
         for start, a, b, text in hits:
             body = text.rstrip("=")
-            if any(s < start + b and start + a < e for _, s, e in fixed.get(row, ())):
+            covered = start + a
+            for s, e in sorted((s, e) for _, s, e in fixed.get(row, ())):
+                if s <= covered:
+                    covered = max(covered, e)
+            if covered >= start + b:
                 continue
             if name := encoding(body):
                 size = min(len(body) // LENGTHS, LAST)

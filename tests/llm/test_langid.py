@@ -1,0 +1,124 @@
+"""Language identification: held-out accuracy, the filters against plain sets, odd rows."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from texts import LONG
+
+from tidewatch.llm import langid
+
+
+def plain_grams(text):
+    """N-grams of runs of letters with a space at both ends."""
+    out, run = Counter(), ""
+    for c in text.lower() + " ":
+        if c.isalpha():
+            run += c
+            continue
+        if run:
+            padded = f" {run} "
+            for size in langid.SIZES:
+                out.update(padded[i : i + size] for i in range(len(padded) - size + 1) if " " not in padded[i + 1 : i + size - 1])
+        run = ""
+    return out
+
+
+TEXTS = ["Hello, wörld", "", "a", " a b ", "x1y", "日本語 テキスト", "İstanbul ΣΑΣ", "123 !!", "don't stop", "ab\x00cd", "ﬁn ß ẞ"]
+
+
+def test_grams_are_those_of_plain_loops():
+    grams = langid.Grams()
+    hashes, places = grams.of(TEXTS)
+    for size, found, cuts in zip(langid.SIZES, hashes, places, strict=True):
+        for k, text in enumerate(TEXTS):
+            own = Counter(found[cuts[k] : cuts[k + 1]].tolist())
+            want = {g: n for g, n in plain_grams(text).items() if len(g) == size}
+            assert sorted(own.values()) == sorted(want.values()), (text, size)
+    several = Counter(h for found in hashes for h in found.tolist())
+    assert sorted(several.values()) == sorted(sum((plain_grams(t) for t in TEXTS), Counter()).values())
+
+
+@pytest.mark.parametrize("piece", [1 << 18, 40])
+def test_long_texts_are_read_whole(piece, monkeypatch):
+    """Cutting texts into parts changes no count."""
+    text = "Größe und Länge, 12 Wörter; " * 50
+    whole, _ = langid.Grams().of([text])
+    monkeypatch.setattr(langid, "PIECE", piece)
+    parts = Counter()
+    for _, part in langid._parts([None, text, "", text]):
+        for found in langid.Grams().of(part)[0]:
+            parts.update(found.tolist())
+    assert parts == Counter({h: 2 * n for found in whole for h, n in Counter(found.tolist()).items()})
+
+
+def test_filters_hold_their_members_and_little_else():
+    draw = random.Random(3)
+    sets = [{draw.getrandbits(64) for _ in range(2_000)} for _ in range(70)]
+    m = 1 << (langid.ROOM * 2_000 - 1).bit_length()
+    planes = np.zeros((2, m), np.int64)
+    for k, own in enumerate(sets):
+        for slots in langid._slots(np.array(sorted(own), np.uint64), m):
+            planes[k // 63, slots] |= np.int64(1) << np.int64(k % 63)
+    model = langid.Model(tuple(f"l{k:02d}" for k in range(70)), planes, np.zeros(70))
+    asked = np.array([*sorted(sets[0]), *(draw.getrandbits(64) for _ in range(20_000))], np.uint64)
+    masks = model.hits(asked)
+    first = (masks[0] & 1).astype(bool)
+    assert first[:2_000].all()
+    assert first[2_000:].mean() < 0.01
+    last = np.array(sorted(sets[69]), np.uint64)
+    assert (model.hits(last)[1] >> np.int64(6) & 1).all()
+
+
+def test_members_are_those_of_plain_counting(spark):
+    texts = [("en", "the cat and the dog"), ("de", "der hund und die katze"), ("en", "the end"), (None, "le chat"), ("fr", None), ("de", "die")]
+    docs = spark.createDataFrame(texts, "lang string, text string")
+    counts, totals = {}, Counter()
+    for label, text in texts:
+        if label and text:
+            for g, n in plain_grams(text).items():
+                counts.setdefault(g, Counter())[label] += n
+                totals[label, len(g)] += n
+    rates = {g: {label: n / totals[label, len(g)] for label, n in c.items()} for g, c in counts.items()}
+    want = Counter(label for r in rates.values() for label, x in r.items() if x >= langid.SHARE * max(r.values()))
+    got = langid.members(langid.gram_counts(docs)).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in got} == want
+
+
+def test_held_out_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = langid.identify(docs.withColumn("score", F.lit("x"))).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
+    held = [r.lang_pred == r.lang for r in rows if r.held_out]
+    assert len(held) > 40 and sum(held) / len(held) >= 0.97
+
+
+def test_held_out_rows_teach_nothing(spark, sf):
+    """Their labels may be anything, and nothing but the text counts in a prediction."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    changed = docs.withColumn("lang", F.when(langid.held_out(), "xx").otherwise(F.col("lang"))).withColumn("source", F.lit("other"))
+    one, two = (sorted(langid.identify(d).collect()) for d in (docs, changed))
+    assert one == two
+
+
+def test_odd_rows(spark, edge, nothing):
+    labelled = edge.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "bb").otherwise("aa"))
+    rows = langid.identify(labelled).collect()
+    assert len(rows) == edge.count()
+    for r in rows:
+        assert r.held_out is (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+    by_id = {r.doc_id: r for r in rows}
+    assert [(by_id[k].lang_pred, by_id[k].score) for k in (1, 2, 3)] == [("und", 0.0)] * 3
+    assert by_id[5].lang_pred in ("aa", "bb") and len(LONG) > 300_000
+    assert {r.lang_pred for r in langid.identify(edge.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert langid.identify(nothing.withColumn("lang", F.lit("aa"))).collect() == []
+
+
+def test_ties_go_to_the_first_name(spark):
+    docs = spark.createDataFrame([("b", "same words"), ("a", "same words")], "lang string, text string")
+    model = langid.fit(docs)
+    asked = spark.createDataFrame([(1, "same words", "y"), (2, "Ω", "y"), (3, "12", "y")], "doc_id long, text string, lang_pred string")
+    assert {r.doc_id: r.lang_pred for r in langid.detect(asked, model).collect()} == {1: "a", 2: "a", 3: "und"}

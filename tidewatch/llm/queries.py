@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch import session
-from tidewatch.llm import decontaminate, html, licenses, neardup, pieces, quality, secrets, sharding, substring, tokens
+from tidewatch.llm import alignment, decontaminate, html, langid, licenses, neardup, periods, pieces, quality, secrets, sharding, substring, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -194,3 +194,18 @@ FROM w JOIN reach ON id = w.doc_id LEFT JOIN sizes ON sizes.doc_id = w.doc_id GR
 """)
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(table(spark, sf_dir, "documents"))

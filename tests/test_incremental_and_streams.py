@@ -1,23 +1,24 @@
 """Incremental loads, sources, staging, and streams against the batch."""
 
+import datetime
 import json
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch import session
-from tidewatch.operators import clean, incremental, language, trends
+from tidewatch import constants, session
+from tidewatch.operators import clean, incremental, keyphrases, language, trends
 from tidewatch.plans import load_job, trend_job
 from tidewatch.plans.enrichment import Resources, enrich_posts
 from tidewatch.plans.warehouse import load_increment
-from tidewatch.schemas import KEYWORD_TRENDS, KEYWORDS, MESSAGE, STREAMED_POSTS
-from tidewatch.sinks import publish, publish_stream, to_messages, upsert_database, upsert_table, versions
-from tidewatch.sinks.tables import existing
+from tidewatch.schemas import KEYWORDS, MESSAGE, STREAMED_POSTS
+from tidewatch.sinks import publish, publish_stream, tables, to_messages, upsert_database, upsert_table
 from tidewatch.sources import read_message_stream, read_table, views
 from tidewatch.sources.tables import jdbc_options
 from tidewatch.sources import select_posts
-from tidewatch.streaming import run_enrichment, run_selection, run_trends
+from tidewatch.streaming import fold_late, run_enrichment, run_selection, run_trends
+from tidewatch.streaming.late import keep_late, settled_until
 
 DRAIN = {"availableNow": True}
 
@@ -178,35 +179,64 @@ def test_streamed_posts_reach_the_tables_and_the_trends(spark, rows, tmp_path):
     at = ["--start", "2024-01-02 12:00:00", "--end", "2024-01-02 13:00:00", "--posts", enriched, "--trends", trend_path]
     for _ in range(2):
         trend_job.main(at)
-    got = {(r.keyword, r.sentiment_label): r.post_count for r in existing(spark, trend_path, KEYWORD_TRENDS).collect()}
+    got = {(r.keyword, r.sentiment_label): r.post_count for r in spark.read.parquet(trend_path).collect()}
     assert got["apple", "Positive"] == got["apple", "Negative"] == 1 and got["pear", "Positive"] == 1
     scan = trend_job.in_days(read_table(spark, enriched, schema=STREAMED_POSTS), *at[1:4:2])
     assert "PartitionFilters: [isnotnull(post_date" in scan._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_failed_upsert_changes_nothing(spark, rows, tmp_path, monkeypatch):
-    """A stop before the manifest is switched leaves the old table; the next call completes it."""
+def table_of(spark, path):
+    return {(r.k, r.part): r.n for r in spark.read.parquet(path).collect()}
+
+
+def test_an_upsert_rewrites_the_partitions_it_touches(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, part string, n int"
+    upsert_table(rows([("a", "p1", 1), ("b", "p1", 1), ("c", "p2", 1), ("d", None, 1)], schema), path, ["k"], "part")
+    untouched = sorted(f.name for f in (tmp_path / "t" / "part=p2").glob("*.parquet"))
+    upsert_table(rows([("a", "p1", 2), ("e", "p3", 2), ("d", None, 2)], schema), path, ["k"], "part")
+    upsert_table(rows([], schema), path, ["k"], "part")
+    assert table_of(spark, path) == {("a", "p1"): 2, ("b", "p1"): 1, ("c", "p2"): 1, ("d", None): 2, ("e", "p3"): 2}
+    assert untouched == sorted(f.name for f in (tmp_path / "t" / "part=p2").glob("*.parquet"))
+    assert not (tmp_path / "t" / "_pending").exists()
+
+
+def test_an_upsert_that_fails_before_its_copy_is_whole_changes_nothing(spark, rows, tmp_path):
     path, schema = str(tmp_path / "t"), "k string, part string, n int"
-    old, new = rows([("a", "p1", 1), ("b", "p1", 1), ("c", "p2", 1)], schema), rows([("a", "p1", 2)], schema)
-    upsert_table(old, path, ["k"], "part")
+    upsert_table(rows([("a", "p1", 1)], schema), path, ["k"], "part")
+
+    @F.udf("int")
+    def stop(n):
+        raise RuntimeError("stopped")
+
+    with pytest.raises(Exception, match="stopped"):
+        upsert_table(rows([("a", "p1", 2)], schema).withColumn("n", stop("n")), path, ["k"], "part")
+    assert table_of(spark, path) == {("a", "p1"): 1}
+    rows([("a", "p1", 9)], schema).write.parquet(f"{path}/_pending")  # files, but the job did not end
+    (tmp_path / "t" / "_pending" / "_SUCCESS").unlink()
+    upsert_table(rows([("b", "p1", 3)], schema), path, ["k"], "part")
+    assert table_of(spark, path) == {("a", "p1"): 1, ("b", "p1"): 3}
 
-    def read():
-        return {r.k: r.n for r in existing(spark, path, old.schema).collect()}
 
-    def stop(*_):
+def test_an_overwrite_that_fails_in_the_middle_is_done_again(spark, rows, tmp_path, monkeypatch):
+    """Some partitions are new, one is gone; readers may see that until the next call, which has other rows, heals it."""
+    import shutil
+
+    path, schema = str(tmp_path / "t"), "k string, part string, n int"
+    upsert_table(rows([("a", "p1", 1), ("b", "p2", 1), ("c", "p3", 1)], schema), path, ["k"], "part")
+    whole = tables._replace
+
+    def stop(merged, *where):
+        whole(merged.filter("part = 'p1'"), *where)
+        shutil.move(tmp_path / "t" / "part=p2", tmp_path / "gone")
         raise RuntimeError("stopped")
 
     with monkeypatch.context() as m:
-        m.setattr(versions, "switch", stop)
+        m.setattr(tables, "_replace", stop)
         with pytest.raises(RuntimeError, match="stopped"):
-            upsert_table(new, path, ["k"], "part")
-    assert read() == {"a": 1, "b": 1, "c": 1}
-    upsert_table(new, path, ["k"], "part")
-    assert read() == {"a": 2, "b": 1, "c": 1}
-    with pytest.raises(RuntimeError, match="someone else"):
-        versions.switch(spark, path, versions.latest(spark, path)[0], {})
-    versions.vacuum(spark, path)
-    assert read() == {"a": 2, "b": 1, "c": 1} and len(list((tmp_path / "t").glob("v-*"))) == 2
+            upsert_table(rows([("a", "p1", 2), ("b", "p2", 2), ("x", "p2", 2)], schema), path, ["k"], "part")
+    assert table_of(spark, path) == {("a", "p1"): 2, ("c", "p3"): 1}
+    upsert_table(rows([("c", "p3", 3), ("x", "p2", 3)], schema), path, ["k"], "part")
+    assert table_of(spark, path) == {("a", "p1"): 2, ("b", "p2"): 2, ("x", "p2"): 3, ("c", "p3"): 3}
 
 
 def test_redone_batch_is_stored_once(spark, tmp_path):
@@ -233,9 +263,9 @@ def test_trend_stream_counts_a_repeated_post_once(spark, sf, tmp_path):
     for _ in range(2):
         events.coalesce(1).write.mode("append").parquet(source)
     posts = views.event_posts(read_message_stream(spark, "parquet", source, 1, schema=events.schema))
-    run_trends(posts, path, checkpoint, delay="60 days", trigger=DRAIN).awaitTermination()
+    run_trends(posts, path, checkpoint, delay="60 days", trigger=DRAIN, layout=trend_job.DAILY).awaitTermination()
     rounded = F.round("avg_sentiment_score", 9)
-    got = existing(spark, path, KEYWORD_TRENDS).withColumn("avg_sentiment_score", rounded)
+    got = spark.read.parquet(path).withColumn("avg_sentiment_score", rounded)
     want = trends.keyword_trends_hourly(views.event_posts(events)).withColumn("avg_sentiment_score", rounded)
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
 
@@ -289,3 +319,119 @@ def test_published_messages_can_be_read_back(spark, rows, tmp_path):
 
 def test_message_schema_matches_payload():
     assert MESSAGE.fieldNames() == ["did", "createdAt", "text"]
+
+
+@pytest.fixture
+def loading(spark, rows):
+    """Raw posts by number, and resources whose phrase counts do not depend on a load."""
+    texts = [f"apple pie{i} cherry{i % 3} soup{i % 5}" for i in range(30)]
+    data = [(f"key{i:02d}", "a", "2024-01-01 00:00:00", t) for i, t in enumerate(texts)]
+    raw = rows(data, "post_key string, did string, created_at string, text string")
+    raw = session.stage(raw.withColumn("created_at", F.col("created_at").cast("timestamp")), "raw")
+    labelled = rows([("en", t) for t in texts], "language string, text string")
+    stats = session.stage(keyphrases.phrase_stats(labelled, stop_words=constants.ENGLISH_STOP_WORDS), "stats")
+    return raw, Resources(language.fit_language_profile(labelled), stats=stats, documents=30)
+
+
+def loaded(spark, path):
+    """Everything but the random order of files: all rows of the three tables."""
+    tables = {t: spark.read.parquet(f"{path}/{t}") for t in ("posts", "keywords", "post_keywords")}
+    return {t: sorted(map(str, df.select(*sorted(df.columns)).collect())) for t, df in tables.items()}
+
+
+@pytest.mark.parametrize("table", ["keywords", "post_keywords", "posts"])
+def test_a_failed_load_is_done_again_with_its_own_ids(spark, loading, tmp_path, monkeypatch, table):
+    """It stops before or after a table is written, other raw posts come, and the tables are those of loads that did not fail."""
+    raw, resources = loading
+    first, clean_path, path = raw.filter("post_key >= 'key10'"), str(tmp_path / "clean"), str(tmp_path / "failed")
+    load_job.run(first, clean_path, resources)
+    load_job.run(raw, clean_path, resources)
+    write = load_job.Tables.write
+    for after in (False, True):
+
+        def stop(self, df, name, load, after=after):
+            if after or name != table:
+                write(self, df, name, load)
+            if name == table:
+                raise RuntimeError("stopped")
+
+        with monkeypatch.context() as m:
+            m.setattr(load_job.Tables, "write", stop)
+            with pytest.raises(RuntimeError, match="stopped"):
+                load_job.run(first, path, resources)
+    load_job.run(raw, path, resources)
+    load_job.run(raw, path, resources)  # nothing new
+    assert loaded(spark, path) == loaded(spark, clean_path)
+    links = spark.read.parquet(f"{path}/post_keywords")
+    assert links.count() == links.select("post_id", "keyword_id").distinct().count() > 0
+    assert sorted(r.post_id for r in spark.read.parquet(f"{path}/posts").collect()) == list(range(1, 31))
+
+
+def test_a_ledger_that_was_not_written_to_its_end_does_not_count(spark, loading, tmp_path):
+    raw, resources = loading
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(99, "key00")], "post_id bigint, raw_post_key string").write.parquet(f"{path}/post_ids/load_id=1")
+    (tmp_path / "t" / "post_ids" / "load_id=1" / "_SUCCESS").unlink()
+    load_job.run(raw, path, resources)
+    assert sorted(r.post_id for r in spark.read.parquet(f"{path}/posts").collect()) == list(range(1, 31))
+
+
+def test_repeated_raw_keys_are_an_error_before_anything_is_written(loading, tmp_path):
+    raw, resources = loading
+    with pytest.raises(ValueError, match="not unique"):
+        load_job.run(raw.union(raw), str(tmp_path / "t"), resources)
+    assert not (tmp_path / "t").exists()
+
+
+def test_late_posts_are_folded_in(spark, rows, tmp_path):
+    """Posts one, three and thirty hours late, one of them delivered in time as well."""
+    source, path, late, checkpoint = (str(tmp_path / d) for d in ("in", "trends", "late", "checkpoint"))
+    schema = "post_id bigint, created_at timestamp, sentiment_label string, sentiment_score double, keywords string"
+
+    def post(i, day, hour):
+        at = datetime.datetime(2024, 1, day, hour, 10 + i % 50)
+        return (i, at, "Positive" if i % 2 else "Neutral", i / 100, '[["word", 0.5], ["k%d", 0.4]]' % (i % 3))
+
+    deliveries = [
+        [post(i, 2, 8) for i in range(5)],
+        [post(10, 2, 20), post(0, 2, 8)],  # the second is old, but nothing was known to be later before
+        [post(20, 2, 19), post(21, 2, 17), post(22, 1, 14), post(23, 2, 20), post(1, 2, 8)],
+        [post(30, 3, 2), post(31, 1, 14), post(22, 1, 14), (32, None, "Neutral", 0.5, None)],
+    ]
+
+    def drain():
+        stream = read_message_stream(spark, "parquet", source, 1, schema=rows([], schema).schema)
+        run_trends(stream, path, checkpoint, trigger=DRAIN, late=late).awaitTermination()
+
+    def table():
+        kept = spark.read.parquet(path).withColumn("avg_sentiment_score", F.round("avg_sentiment_score", 9))
+        return sorted(map(str, kept.select(*trends.COLUMNS).collect()))
+
+    def batch(posts):
+        counted = trends.keyword_trends_hourly(posts.dropDuplicates(["post_id"]))
+        return sorted(map(str, counted.withColumn("avg_sentiment_score", F.round("avg_sentiment_score", 9)).collect()))
+
+    for some in deliveries[:3]:
+        rows(some, schema).coalesce(1).write.mode("append").parquet(source)
+        drain()
+    everything = rows([p for some in deliveries[:3] for p in some], schema)
+    assert table() != batch(everything)  # the stream alone lost some
+    assert {r.post_id for r in spark.read.parquet(late).collect()} >= {21, 22}
+    assert settled_until(spark, late) == datetime.datetime(2024, 1, 2, 18, 33)
+    assert fold_late(everything, late, path) == 3
+    assert table() == batch(everything)
+    assert fold_late(everything, late, path) == 0
+    rows(deliveries[3], schema).coalesce(1).write.mode("append").parquet(source)
+    drain()
+    everything = rows([p for some in deliveries for p in some], schema)
+    on_time = everything.filter("post_id NOT IN (21, 22, 31)")  # a store without the late ones
+    assert fold_late(on_time, late, path) > 0
+    assert table() == batch(everything.filter("created_at IS NOT NULL"))
+
+
+def test_a_repeated_micro_batch_keeps_its_late_posts_once(spark, rows, tmp_path):
+    late, schema = str(tmp_path / "late"), "post_id bigint, created_at timestamp"
+    posts = rows([(1, datetime.datetime(2024, 1, 2)), (2, datetime.datetime(2024, 1, 1))], schema)
+    for batch_id in (0, 1, 1):
+        keep_late(posts, late, batch_id, "2 hours")
+    assert [r.post_id for r in spark.read.parquet(late).collect()] == [2]

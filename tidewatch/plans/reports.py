@@ -77,26 +77,20 @@ def fast_facts(posts: DataFrame, trends: DataFrame, exact: bool = True, rsd: flo
     return totals.withColumn("unique_keywords", trends.agg(distinct("keyword").alias("k")).scalar())
 
 
-def dashboard_long(
-    posts: DataFrame, trends: DataFrame, start: Bound, end: Bound, exact: bool = True, rsd: float = 0.02
-) -> DataFrame:
-    """All home-page numbers as one ``metric, col1, col2, value`` table.
+def cell_columns() -> list[Column]:
+    """What the windowed metrics tell posts apart by, besides their hour."""
+    return [F.col("sentiment_label").alias("label"), _sfw_flag().alias("flag"), _language().alias("lang")]
 
-    The window is scanned once into counts per (hour, label, flag, language), a few thousand rows at
-    any scale; the five windowed metrics are grouping sets over those.
-    """
-    cells = (
-        _window(posts, start, end)
-        .groupBy(
-            _hour().alias("hour"),
-            F.col("sentiment_label").alias("label"),
-            _sfw_flag().alias("flag"),
-            _language().alias("lang"),
-        )
-        .agg(F.count("*").alias("n"))
-    )
+
+def cells(posts: DataFrame) -> DataFrame:
+    """``hour, label, flag, lang, n``: posts by hour of day and the other columns of the windowed metrics."""
+    return posts.groupBy(_hour().alias("hour"), *cell_columns()).agg(F.count("*").alias("n"))
+
+
+def windowed_metrics(counted: DataFrame) -> DataFrame:
+    """The five windowed metrics as grouping sets over cells; a cell may have several rows, which add up."""
     hour, label, flag, lang = (F.col(c) for c in ("hour", "label", "flag", "lang"))
-    sets = cells.groupingSets([[hour], [label], [hour, label], [flag], [lang]], hour, label, flag, lang).agg(
+    sets = counted.groupingSets([[hour], [label], [hour, label], [flag], [lang]], hour, label, flag, lang).agg(
         F.sum("n").alias("value"), F.grouping_id().alias("set")
     )
     # grouping_id has one bit per column, set where the column is summed over.
@@ -107,8 +101,18 @@ def dashboard_long(
         .when(F.col("set") == 0b1101, "sfw_totals")
         .otherwise("language_totals")
     )
-    windowed = sets.select(metric.alias("metric"), hour.alias("col1"), F.coalesce(label, flag, lang).alias("col2"), "value")
+    return sets.select(metric.alias("metric"), hour.alias("col1"), F.coalesce(label, flag, lang).alias("col2"), "value")
+
+
+def dashboard_long(
+    posts: DataFrame, trends: DataFrame, start: Bound, end: Bound, exact: bool = True, rsd: float = 0.02
+) -> DataFrame:
+    """All home-page numbers as one ``metric, col1, col2, value`` table.
 
+    The window is scanned once into counts per (hour, label, flag, language), a few thousand rows at
+    any scale; the five windowed metrics are grouping sets over those.
+    """
+    windowed = windowed_metrics(cells(_window(posts, start, end)))
     facts = fast_facts(posts, trends, exact, rsd)
     names = ("total_posts", "unique_users", "unique_keywords")
     rows = F.inline(F.array(*[F.struct(F.lit(c.upper()).alias("col2"), F.col(c).alias("value")) for c in names]))

@@ -1,4 +1,7 @@
-"""The hourly trend job: ``python -m tidewatch.plans.trend_job --start … --end … --posts … --trends …``."""
+"""The hourly trend job: ``python -m tidewatch.plans.trend_job --start … --end … --posts … --trends …``.
+
+With ``--late`` it first folds in the posts that a trend stream kept aside.
+"""
 
 from __future__ import annotations
 
@@ -14,13 +17,14 @@ from tidewatch.schemas import POST_DATE, STREAMED_POSTS, TREND_KEY
 from tidewatch.sinks.tables import upsert_table
 from tidewatch.sources.tables import read_table
 
-PARTITION = "period_hour"
+PARTITION = "period"
+#: Names of folders by time: an hour each, for jobs and streams that touch a few hours at a time, or a day.
+HOURLY, DAILY = "yyyy-MM-dd-HH", "yyyy-MM-dd"
 
 
-def store_trends(trends: DataFrame, path: str) -> None:
-    """Upsert trend rows into the trend table, one folder per hour of ``period_start``."""
-    hour = F.date_format("period_start", "yyyy-MM-dd-HH")
-    upsert_table(trends.withColumn(PARTITION, hour), path, TREND_KEY, PARTITION)
+def store_trends(trends: DataFrame, path: str, layout: str = HOURLY) -> None:
+    """Upsert trend rows into the trend table, in folders by ``period_start``; a table keeps to one layout."""
+    upsert_table(trends.withColumn(PARTITION, F.date_format("period_start", layout)), path, TREND_KEY, PARTITION)
 
 
 def in_days(posts: DataFrame, start: Moment, end: Moment) -> DataFrame:
@@ -46,9 +50,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--end", required=True, help="first moment after the period")
     parser.add_argument("--posts", required=True, help="where the posts are")
     parser.add_argument("--trends", required=True, help="where the trend table is")
+    parser.add_argument("--late", help="where a trend stream keeps late posts")
     args = parser.parse_args(argv)
     spark = session.build("keyword-trends")
-    run(read_table(spark, args.posts, schema=STREAMED_POSTS), args.trends, args.start, args.end)
+    posts = read_table(spark, args.posts, schema=STREAMED_POSTS)
+    if args.late:
+        from tidewatch.streaming.late import fold_late
+
+        fold_late(posts, args.late, args.trends)
+    run(posts, args.trends, args.start, args.end)
 
 
 if __name__ == "__main__":

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from tidewatch.constants import LANGUAGE_NAMES
 from tidewatch.functions import times
-from tidewatch.plans import reports
+from tidewatch.functions.times import in_range
+from tidewatch.plans import reports, rollups
 from tidewatch.queries.registry import AS_OF, END, START, query, sql_list, view, with_views
 from tidewatch.queries.trends import hourly
+from tidewatch.session import new_folder
 from tidewatch.sources import views
 
 WINDOW = f"created_at BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
@@ -126,6 +128,39 @@ def dashboard_lookback(spark, sf):
     return reports.dashboard_long(views.posts_wide(spark, sf), hourly(spark, sf), start, end)
 
 
+# A look-back with an edge at either end that is no whole hour.
+EDGES = ("2024-01-04 13:22:31", "2024-01-09 07:41:05")
+EDGED = f"created_at BETWEEN TIMESTAMP '{EDGES[0]}' AND TIMESTAMP '{EDGES[1]}'"
+
+
+def _rolled(spark, sf):
+    """Posts and their stored roll-ups."""
+    folder = new_folder(spark, "rolled")
+    posts = views.posts_wide(spark, sf)
+    rollups.store_rollup(posts, folder, START, END)
+    return posts, rollups.read_rollup(spark, folder)
+
+
+@query(with_views("SELECT * FROM dashboard WHERE metric <> 'fast_facts'", "dashboard").replace(WINDOW, EDGED))
+def dashboard_from_rollups(spark, sf):
+    return rollups.dashboard_lookback(*_rolled(spark, sf), *EDGES)
+
+
+@query(
+    f"""SELECT count(*) AS num_posts, count(DISTINCT did) AS unique_users, true AS estimate_holds
+        FROM posts_wide WHERE {EDGED}""",
+    "posts_wide",
+)
+def distinct_users_from_sketches(spark, sf):
+    """The estimate of stored sketches lies within four standard errors of the exact number."""
+    posts, rolled = _rolled(spark, sf)
+    estimate = rollups.distinct_users(posts, rolled, *EDGES).withColumnRenamed("unique_users", "estimate")
+    exact = in_range(posts, "created_at", *EDGES, closed="both").agg(F.countDistinct("did").alias("unique_users"))
+    error = 4 * rollups.SKETCH_ERROR * F.col("unique_users") + 0.5
+    row = estimate.withColumn("unique_users", exact.scalar())
+    return row.select("num_posts", "unique_users", (F.abs(F.col("estimate") - F.col("unique_users")) <= error).alias("estimate_holds"))
+
+
 def _register_slices():
     for metric, columns in (
         ("posts_by_hour", "col1 AS hour_of_day, value AS num_posts"),

@@ -44,6 +44,17 @@ KEYWORD_TRENDS = _schema(
 POST_DATE, POST_HOUR, BATCH = "post_date", "post_hour", "batch_id"
 STREAMED_POSTS = T.StructType([*POSTS.fields, T.StructField(POST_DATE, T.DateType(), True)])
 
+# Hourly sums of posts and sketches of their authors; the last column names folders.
+ROLLUPS = _schema(
+    period_start=T.TimestampType(),
+    label=T.StringType(),
+    flag=T.StringType(),
+    lang=T.StringType(),
+    n=T.LongType(),
+    users=T.BinaryType(),
+    period_day=T.StringType(),
+)
+
 TREND_KEY = ("keyword", "period_start", "sentiment_label")
 
 RAW_POSTS = _schema(post_id=T.LongType(), did=T.StringType(), text=T.StringType(), created_at=T.TimestampType())

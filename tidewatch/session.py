@@ -81,17 +81,27 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def remove_matching(spark: SparkSession, pattern: str) -> None:
-    """Remove every folder that a pattern of names matches; none is fine."""
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern of names matches."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in fs.globStatus(target) or []:
-        fs.delete(status.getPath(), True)
+    return [status.getPath().toString() for status in fs.globStatus(target) or []]
+
+
+def remove_matching(spark: SparkSession, pattern: str) -> None:
+    """Remove every folder that a pattern of names matches; none is fine."""
+    for path in matching(spark, pattern):
+        remove_folder(spark, path)
 
 
 @contextmanager

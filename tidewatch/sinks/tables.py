@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewatch.session import stage, temporary_stages
-from tidewatch.sinks import versions
+from tidewatch.session import exists, remove_folder, stage, temporary_stages
 
+# Where the merged partitions of an upsert wait below the table; readers skip names that begin like this.
+PENDING = "_pending"
 # Bytes of the staged rows that one writer, and so one file, takes.
 WRITER_BYTES = 128 << 20
 
@@ -41,41 +42,60 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return old.join(replaced, same, "left_anti").unionByName(new)
 
 
-def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The table that ``upsert_table`` keeps at ``path``, or ``None`` where nothing was written yet."""
-    _, folders = versions.latest(spark, path)
-    return _read(spark, path, folders.values(), schema)
-
-
-def _read(spark: SparkSession, path: str, folders: Iterable[str], schema: StructType) -> DataFrame | None:
-    paths = [f"{path}/{f}" for f in sorted(folders)]
-    return spark.read.schema(schema).parquet(*paths) if paths else None
-
-
 def upsert_table(new: DataFrame, path: str, keys: Sequence[str], partition_by: str) -> None:
-    """Upsert into a Parquet table, replacing only the partitions that ``new`` touches.
+    """Upsert into a Parquet table laid out by ``partition_by``, rewriting only the partitions that ``new`` touches.
 
-    The merged partitions are written into a folder of their own; a manifest that is replaced last makes them the table. A
-    call that fails before that changes nothing, and a repeated call gives the same table. ``partition_by``, a
-    function of the keys, holds letters, digits and dashes; its different values in ``new`` are collected.
+    The merged rows of those partitions are first written to ``<path>/_pending``, which readers of the table do not see. Spark
+    then overwrites the partitions from that copy, and the copy goes when it has ended. A call that fails before the copy
+    is whole changes nothing. One that fails later may leave some partitions old, new or gone; the copy is then still there, and
+    the next call, or ``finish_upsert``, overwrites them again before anything else. ``partition_by`` is a function of the
+    keys; its different values in ``new`` are collected. One writer at a time.
     """
     spark = new.sparkSession
+    finish_upsert(spark, path, partition_by)
     with temporary_stages(spark):
         rows = stage(new, "upsert")
         parts = [r[0] for r in rows.select(partition_by).distinct().collect()]
         if not parts:
             return
-        number, folders = versions.latest(spark, path)
-        old = _read(spark, path, [folders[p] for p in parts if p in folders], rows.schema)
-        size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        old = _partitions(spark, path, rows.schema, partition_by, parts)
         merged = rows if old is None else upsert(old, rows, keys)
-        # Rows go to writers by partition and by key, so a hot partition has as many writers as it may need.
-        spread = F.pmod(F.xxhash64(*keys), F.lit(-(-size // WRITER_BYTES) or 1))
-        version = f"v-{uuid.uuid4().hex}"
-        (
-            merged.withColumn("_part", F.col(partition_by))
-            .repartition(F.col("_part"), spread)
-            .write.partitionBy("_part")
-            .parquet(f"{path}/{version}")
-        )
-        versions.switch(spark, path, number + 1, {**folders, **{p: f"{version}/_part={p}" for p in parts}})
+        size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        replace_partitions(merged, path, partition_by, keys, -(-size // WRITER_BYTES) or 1)
+
+
+def replace_partitions(rows: DataFrame, path: str, partition_by: str, keys: Sequence[str], writers: int = 1) -> None:
+    """Put ``rows`` in place of all rows of the partitions they belong to, as safe from failures as ``upsert_table``.
+
+    Rows go to writers by partition and by hash of ``keys``, so a hot partition has up to ``writers`` of them.
+    """
+    spark = rows.sparkSession
+    finish_upsert(spark, path, partition_by)
+    dealt = rows.repartition(F.col(partition_by), F.pmod(F.xxhash64(*keys), F.lit(writers)))
+    dealt.sortWithinPartitions(partition_by).write.mode("overwrite").parquet(f"{path}/{PENDING}")
+    finish_upsert(spark, path, partition_by)
+
+
+def finish_upsert(spark: SparkSession, path: str, partition_by: str) -> None:
+    """Overwrite partitions from the copy that an interrupted upsert left at ``path``, if there is one."""
+    pending = f"{path}/{PENDING}"
+    if exists(spark, f"{pending}/_SUCCESS"):
+        _replace(spark.read.parquet(pending), path, partition_by)
+    remove_folder(spark, pending)  # also one that was not written to its end
+
+
+def _replace(rows: DataFrame, path: str, partition_by: str) -> None:
+    """Spark's own partition overwrite: partitions without a row in ``rows`` stay as they are."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+
+
+def _partitions(spark: SparkSession, path: str, schema: StructType, partition_by: str, parts: Sequence) -> DataFrame | None:
+    """The rows of some partitions of the table at ``path``, or ``None`` where nothing was written yet."""
+    try:
+        table = spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    known = F.col(partition_by).isin([p for p in parts if p is not None])
+    return table.filter(known | F.col(partition_by).isNull() if None in parts else known).select(*schema.names)

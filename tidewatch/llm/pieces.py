@@ -21,6 +21,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,11 @@ TOGETHER, LONGEST = 1 << 14, 64
 _MASK = (1 << 64) - 1
 _MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_NONE = np.inf
+_NONE = np.iinfo(np.int32).max
 #: Above the number of steps of a segment of ``LONGEST`` characters, and paths that a task keeps.
 _STEPS, PATHS = 1 << 10, 500_000
+#: Leading bits of a piece's hash by which it is found.
+_LEADING = 18
 
 
 class Encoder:
@@ -127,7 +130,16 @@ class Encoder:
         return out
 
     def _together(self, texts: list[str], skips: Callable[[np.ndarray, int, np.ndarray], np.ndarray]) -> Iterator[list[int]]:
-        """``skips`` tells of rows, the number of their step and the places of its pairs, which are skipped."""
+        """The pieces of each text, as lists."""
+        flat, sizes = self._merged(texts, skips)
+        ids, ends = flat.tolist(), np.cumsum(sizes).tolist()
+        return (ids[end - size : end] for size, end in zip(sizes.tolist(), ends, strict=True))
+
+    def _merged(self, texts: list[str], skips: Callable[[np.ndarray, int, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of all texts one after the other, and the number of each text's.
+
+        ``skips`` tells of rows, the number of their step and the places of its pairs, which are skipped.
+        """
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         n, width = len(texts), int(sizes.max())
         inside = np.arange(width) < sizes[:, None]
@@ -146,7 +158,7 @@ class Encoder:
         starts = np.arange(width)
         end = np.where(inside, starts + 1, -1)
         before = np.broadcast_to(starts - 1, (n, width)).copy()
-        rank = np.full((n, width), _NONE)
+        rank = np.full((n, width), _NONE, np.int32)
         rows, lefts = np.nonzero(starts + 1 < sizes[:, None])
         rank[rows, lefts] = look(rows, lefts, lefts + 2)[0]
         live, step = every, 0
@@ -171,15 +183,14 @@ class Encoder:
             rank[r, first] = look(r, first, b)[0]
         rows, lefts = np.nonzero(end > 0)
         ids = look(rows, lefts, end[rows, lefts])[1]
-        cuts = np.searchsorted(rows, np.arange(n + 1)).tolist()
-        flat, places, strange = ids.tolist(), lefts.tolist(), set(rows[ids < 0].tolist())
-        for i, text in enumerate(texts):
-            a, b = cuts[i], cuts[i + 1]
-            if i in strange:
-                found = [[x] if x >= 0 else [self.bytes_[o] for o in text[k].encode()] for x, k in zip(flat[a:b], places[a:b], strict=True)]
-                yield [x for xs in found for x in xs]
-            else:
-                yield flat[a:b]
+        strange = np.flatnonzero(ids < 0)
+        if len(strange):  # characters that are no piece become bytes
+            octets = [texts[r][k].encode() for r, k in zip(rows[strange].tolist(), lefts[strange].tolist(), strict=True)]
+            times = np.ones(len(ids), np.int64)
+            times[strange] = [len(o) for o in octets]
+            ids, rows = np.repeat(ids, times), np.repeat(rows, times)
+            ids[ids < 0] = [self.bytes_[o] for some in octets for o in some]
+        return ids.astype(np.int32), np.bincount(rows, minlength=n)
 
     def _skips(self, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
         if not 0 < self.limit <= _MASK:
@@ -222,45 +233,76 @@ class Encoder:
 
     def encode_each(self, texts: list[str | None], keys: list) -> list[list[int] | None]:
         """``encode_here`` of each text, for all texts at once."""
-        rows = [[] if t is None else segments(t) for t in texts]
-        flat = [p for parts in rows for p in parts]
-        sizes, counts = np.fromiter(map(len, flat), np.int64, len(flat)), np.fromiter(map(len, rows), np.int64, len(rows))
-        begins = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(flat) else sizes
-        firsts = np.cumsum(counts) - counts
-        row_of = np.repeat(np.arange(len(rows)), counts)
-        offsets = (begins - begins[firsts[row_of]]).astype(np.uint64)
-        own = np.fromiter((self._document(k) for k in keys), np.uint64, len(keys))[row_of] + offsets * _BASE
-        out: list[list[int]] = [[]] * len(flat)
-        for i in np.flatnonzero(sizes > LONGEST).tolist():
-            out[i] = self._one(flat[i], int(own[i]))
-        if len(self.paths.ids) >= PATHS:
+        ids, cuts, _ = self.encode_column(pa.array(texts, pa.string()), keys)
+        ids, cuts = ids.tolist(), cuts.tolist()
+        return [None if t is None else ids[a:b] for t, a, b in zip(texts, cuts[:-1], cuts[1:], strict=True)]
+
+    def encode_column(self, column: pa.Array, keys: list) -> tuple[np.ndarray, np.ndarray, Segments]:
+        """The pieces of all texts, the places at which each text's begin, with the end, and how the texts were cut."""
+        cut = Segments.of(column)
+        codes, sizes = cut.codes, cut.sizes
+        own = np.fromiter((self._document(k) for k in keys), np.uint64, len(keys))[cut.rows] + cut.offsets.astype(np.uint64) * _BASE
+        if len(self.paths.skips) >= PATHS:
             self.paths = Paths()
         paths = self.paths
-        new = list({p for p in flat if p not in paths.whole and len(p) <= LONGEST})
-        paths.whole.update(zip(new, self._follow(new, [()] * len(new)), strict=True))
+        last = np.full(len(codes), -1)  # the path that each segment ends with
+        alone: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # segments, pieces and their numbers, where there is none
+
+        def by_itself(some: np.ndarray, found: list[list[int]]) -> None:
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            alone.append((some, np.fromiter((x for ids in found for x in ids), np.int32, int(counts.sum())), counts))
+
+        long = np.flatnonzero(sizes > LONGEST)
+        if len(long):
+            by_itself(long, [self._one(cut.texts[codes[i]], int(own[i])) for i in long.tolist()])
+        path_of = np.fromiter((paths.whole.get(t, -1) for t in cut.texts), np.int64, len(cut.texts))
+        new = [i for i in np.flatnonzero(path_of < 0).tolist() if len(cut.texts[i]) <= LONGEST]
+        path_of[new] = self._follow([cut.texts[i] for i in new], [()] * len(new))
+        paths.whole.update(zip((cut.texts[i] for i in new), path_of[new].tolist(), strict=True))
         left = np.flatnonzero(sizes <= LONGEST)
-        path = np.fromiter((paths.whole[flat[i]] for i in left.tolist()), np.int64, len(left))
-        since = np.zeros(len(left), np.int64)
+        path, since = path_of[codes[left]], np.zeros(len(left), np.int64)
         while len(left):
             skip = self._first_skip(path, since, own[left])
             none = skip < 0
-            for i, k in zip(left[none].tolist(), path[none].tolist(), strict=True):
-                out[i] = paths.ids[k]
+            last[left[none]] = path[none]
             left, path, skip = left[~none], path[~none], skip[~none]
             after, example, which, n = np.unique(path * _STEPS + skip, return_index=True, return_inverse=True, return_counts=True)
             known = np.fromiter((paths.after.get(k, -1) for k in after.tolist()), np.int64, len(after))
             new = np.flatnonzero((known < 0) & (n > 1))
             skips = [(*paths.skips[path[e]], int(skip[e])) for e in example[new].tolist()]
-            known[new] = self._follow([flat[left[e]] for e in example[new].tolist()], skips)
+            known[new] = self._follow([cut.texts[codes[left[e]]] for e in example[new].tolist()], skips)
             paths.after.update(zip(after[new].tolist(), known[new].tolist(), strict=True))
             path, since = known[which], skip + 1
-            alone = path < 0  # no other occurrence here took this turn: it goes to its end at once
-            for i, ids in zip(left[alone].tolist(), self._many([flat[i] for i in left[alone].tolist()], own[left[alone]]), strict=True):
-                out[i] = ids
-            left, path, since = left[~alone], path[~alone], since[~alone]
-        ends = np.cumsum(counts).tolist()
-        joined = ([x for ids in out[a:b] for x in ids] for a, b in zip(firsts.tolist(), ends, strict=True))
-        return [None if t is None else ids for t, ids in zip(texts, joined, strict=True)]
+            some = path < 0  # no other occurrence here took this turn: it goes to its end at once
+            if some.any():
+                texts = [cut.texts[i] for i in codes[left[some]].tolist()]
+                for part, flat, counts in self._many_flat(texts, own[left[some]]):
+                    alone.append((left[some][part], flat, counts))
+            left, path, since = left[~some], path[~some], since[~some]
+        kept, kept_starts, kept_sizes = paths.pieces()
+        start, count = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        by_path = last >= 0
+        start[by_path], count[by_path] = kept_starts[last[by_path]], kept_sizes[last[by_path]]
+        pool = [kept]
+        for some, flat, counts in alone:
+            start[some], count[some] = sum(map(len, pool)) + np.cumsum(counts) - counts, counts
+            pool.append(flat)
+        ends = np.cumsum(count)
+        ids = np.concatenate(pool)[np.repeat(start - ends + count, count) + np.arange(int(count.sum()))]
+        return ids, np.concatenate([[0], ends])[cut.cuts], cut
+
+    def _many_flat(self, texts: list[str], keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``_one`` of many short segments: some of them, their pieces one after the other, and the number of each one's."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        order = np.argsort(sizes, kind="stable")
+        at = 0
+        while at < len(order):
+            widest = min(max(2 * int(sizes[order[at]]), 8), LONGEST)
+            upto = min(at + TOGETHER, int(np.searchsorted(sizes[order], widest, "right")))
+            part = order[at:upto]
+            own = keys[part]
+            yield part, *self._merged([texts[i] for i in part.tolist()], lambda live, _, places, own=own: self._skips(own[live], places))
+            at = upto
 
     def _first_skip(self, path: np.ndarray, since: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """The first step of each path, from step ``since`` on, that the key skips; -1 if there is none."""
@@ -289,11 +331,11 @@ class Encoder:
                 taken.append((live, places))
                 return gone[live, step] if step < gone.shape[1] else np.zeros(len(live), bool)
 
-            ids = list(self._together([texts[i] for i in part], given))
+            ids, counts = self._merged([texts[i] for i in part], given)
             rows = np.concatenate([r for r, _ in taken]) if taken else np.zeros(0, np.int64)
             places = np.concatenate([p for _, p in taken]) if taken else np.zeros(0, np.int64)
             places = places[np.argsort(rows, kind="stable")]
-            numbers_here = self.paths.add(ids, [skips[i] for i in part], np.bincount(rows, minlength=len(part)), places)
+            numbers_here = self.paths.add(ids, counts, [skips[i] for i in part], np.bincount(rows, minlength=len(part)), places)
             for i, k in zip(part, numbers_here, strict=True):
                 numbers[i] = k
         return numbers
@@ -302,23 +344,71 @@ class Encoder:
         return [x for part in segments(text) for x in self.segment(part, variant)]
 
 
+@dataclass
+class Segments:
+    """The segments of a column of texts: the different ones, which of them stands where, and in whose row.
+
+    ``cuts`` are the places at which each row's segments begin, with the end; ``offsets`` are characters of the row before a
+    segment, ``sizes`` its characters. ``data`` are the bytes of all rows with the space in front, ``bounds`` those of each row.
+    """
+
+    texts: list[str]
+    codes: np.ndarray
+    rows: np.ndarray
+    cuts: np.ndarray
+    offsets: np.ndarray
+    sizes: np.ndarray
+    data: np.ndarray
+    bounds: np.ndarray
+
+    @classmethod
+    def of(cls, column: pa.Array) -> Segments:
+        """What ``segments`` finds in every text, by bytes: one begins with a row, at and after a line feed, and at the first of some spaces."""
+        data, offsets = W.buffers(column)
+        filled = offsets[1:] > offsets[:-1]
+        data = np.insert(data, offsets[:-1][filled], 0x20)
+        bounds = offsets + np.concatenate([[0], np.cumsum(filled)])
+        space, feed = data == 0x20, data == 0x0A
+        begins = feed.copy()
+        begins[1:] |= feed[:-1] | (space[1:] & ~space[:-1])
+        begins[bounds[:-1][filled]] = True
+        at = np.flatnonzero(begins)
+        ends = np.append(at, len(data))
+        listed = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data))
+        coded = listed.dictionary_encode()
+        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        cuts = np.searchsorted(at, bounds)
+        rows = np.repeat(np.arange(len(column)), np.diff(cuts))
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return cls(coded.dictionary.to_pylist(), codes, rows, cuts, chars[at] - chars[bounds[rows]], np.diff(chars[ends]), data, bounds)
+
+
 class Paths:
     """The steps that segments take, by the skips among them; nothing here depends on a key."""
 
     def __init__(self):
         self.whole: dict[str, int] = {}  # of a segment, without skips
         self.after: dict[int, int] = {}  # of a path and the step skipped in it
-        self.ids: list[list[int]] = []
         self.skips: list[tuple[int, ...]] = []
+        self.ids, self.counts, self.found = np.zeros(0, np.int32), np.zeros(0, np.int64), []
         self.sizes = self.places = np.zeros(0, np.int64)
         self.new: list[tuple[np.ndarray, np.ndarray]] = []
         self.starts = self.sizes
 
-    def add(self, ids: list[list[int]], skips: list[tuple[int, ...]], sizes: np.ndarray, places: np.ndarray) -> range:
-        self.ids += ids
+    def add(self, ids: np.ndarray, counts: np.ndarray, skips: list[tuple[int, ...]], sizes: np.ndarray, places: np.ndarray) -> range:
+        """Paths that end with ``ids``, ``counts`` of them each, after ``sizes`` steps at ``places``."""
+        self.found.append((ids, counts))
         self.skips += skips
         self.new.append((sizes, places))
-        return range(len(self.ids) - len(ids), len(self.ids))
+        return range(len(self.skips) - len(skips), len(self.skips))
+
+    def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces of all paths one after the other; where each path's begin, and how many they are."""
+        if self.found:
+            self.ids = np.concatenate([self.ids, *(i for i, _ in self.found)])
+            self.counts = np.concatenate([self.counts, *(c for _, c in self.found)])
+            self.found = []
+        return self.ids, np.cumsum(self.counts) - self.counts, self.counts
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.new:
@@ -339,18 +429,28 @@ class Table:
             for c in piece:
                 h = (h * int(_BASE) + ord(c) + 1) & _MASK
             hashes[i] = h
+        hashes *= np.uint64(_MIX[0])  # one to one; spreads the leading bits
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces have one hash")
-        self.ranks = np.array([-vocabulary.scores[p] for p in pieces])[order]
-        self.ids = np.array([vocabulary.ids[p] for p in pieces])[order]
+        ranks = np.unique([-vocabulary.scores[p] for p in pieces], return_inverse=True)[1]  # in the order of scores, ties alike
+        self.ranks = np.append(ranks.astype(np.int32)[order], np.int32(_NONE))
+        self.ids = np.append(np.array([vocabulary.ids[p] for p in pieces])[order], -1)
+        # where the hashes with the same leading bits begin
+        self.first = np.searchsorted(self.hashes, np.arange(1 << _LEADING, dtype=np.uint64) << np.uint64(64 - _LEADING))
+        self.hashes = np.append(self.hashes, np.uint64(_MASK))
         self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(LONGEST, _BASE)]))
 
     def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        known = self.hashes[at] == hashes
-        return np.where(known, self.ranks[at], _NONE), np.where(known, self.ids[at], -1)
+        hashes = hashes * np.uint64(_MIX[0])
+        at = self.first[hashes >> np.uint64(64 - _LEADING)]
+        behind = np.flatnonzero(self.hashes[at] < hashes)
+        while len(behind):  # a few steps inside a bucket
+            at[behind] += 1
+            behind = behind[self.hashes[at[behind]] < hashes[behind]]
+        at = np.where(self.hashes[at] == hashes, at, len(self.hashes) - 1)
+        return self.ranks[at], self.ids[at]
 
 
 class Decoder:
@@ -359,12 +459,33 @@ class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         octets = {i: bytes([b]) for b, i in enumerate(vocabulary.bytes_)}
         self.table = [octets.get(i, piece.encode()) for i, piece in enumerate(vocabulary.pieces)]
+        self.sizes = np.fromiter(map(len, self.table), np.int64, len(self.table))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(self.table), np.uint8)
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ``ids``, without the space that encoding puts in front."""
         table = self.table
         return b"".join([table[i] for i in ids])[1:].decode()
 
+    def returns(self, ids: np.ndarray, cuts: np.ndarray, cut: Segments) -> np.ndarray:
+        """Whether each row's ids decode to its text, by the bytes of all rows at once."""
+        octets = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+        out = np.diff(octets[cuts]) == np.diff(cut.bounds)
+        shift = np.repeat(self.starts[ids] - octets[:-1], self.sizes[ids])
+        joined = self.data[shift + np.arange(len(shift))]
+        if not out.all():  # only rows of the right length can be compared by place
+            row = np.repeat(np.arange(len(out)), np.diff(octets[cuts]))
+            joined = joined[out[row]]
+            data = cut.data[out[np.repeat(np.arange(len(out)), np.diff(cut.bounds))]]
+        else:
+            data = cut.data
+        right = np.flatnonzero(out)
+        wrong = np.concatenate([[0], np.cumsum(joined != data)])
+        ends = np.cumsum(np.diff(cut.bounds)[right])
+        out[right] = wrong[ends] == wrong[ends - np.diff(cut.bounds)[right]]
+        return out
+
 
 def _with(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     names = {f.name.lower() for f in fields}
@@ -395,12 +516,19 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(shared.value, dropout, seed, variants), Decoder(shared.value)
         for block in W.blocks(batches, text, W.BLOCK_BYTES // 4):
-            texts = block.column(text).to_pylist()
-            ids = (encoder.encode_each if variants is None else encoder.encode_all)(texts, block.column(key).to_pylist())
-            lossless = [None if t is None else decoder.decode(i) == t for t, i in zip(texts, ids, strict=True)]
-            counts = [0 if i is None else len(i) for i in ids]
-            columns = [_lists(ids), pa.array(counts, pa.int64()), pa.array(lossless, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in kept), *columns], [f.name for f in schema.fields])
+            given, keys = block.column(text), block.column(key).to_pylist()
+            if variants is None:
+                flat, cuts, cut = encoder.encode_column(given, keys)
+                none = given.is_null()
+                ids = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat), mask=none)
+                lossless = pa.array(decoder.returns(flat, cuts, cut), mask=none.to_numpy(zero_copy_only=False))
+                counts = pa.array(np.diff(cuts))
+            else:
+                texts = given.to_pylist()
+                lists = encoder.encode_all(texts, keys)
+                lossless = pa.array([None if t is None else decoder.decode(i) == t for t, i in zip(texts, lists, strict=True)], pa.bool_())
+                counts, ids = pa.array([0 if i is None else len(i) for i in lists], pa.int64()), _lists(lists)
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in kept), ids, counts, lossless], [f.name for f in schema.fields])
 
     return docs.mapInArrow(run, schema)
 

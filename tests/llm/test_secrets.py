@@ -94,3 +94,32 @@ def test_a_run_that_fixed_spans_do_not_cover_is_tested_whole():
     for text, want in ((run, [("hex", 5, 29), ("random", 0, 39)]), (part, [("hex", 0, 24)]), (f"token={run}", [("assign", 0, 45), ("hex", 11, 35)])):
         limits = {(name, size): 0.0 for name in S.ALPHABETS for size in range(S.LAST + 1)}
         assert sorted(S._spans(pa.array(["x", text]), limits)[1]) == sorted(want)
+
+
+def test_a_few_word_like_runs_are_no_discoveries(spark):
+    """Strata of one, two and five runs that look like words, and no random string anywhere."""
+    for n in (1, 2, 5):
+        for spread in (1, 3):
+            strata = {("base62", 4 + k % spread): [0] * S.BINS for k in range(n)}
+            for k in range(n):
+                strata["base62", 4 + k % spread][2 + 3 * k] += 1
+            assert S.limits(strata) == {}
+    texts = ["class MyVeryLongClassNameForTesting extends Base", "import com_example_project_Main now", "see TheaterNationRestoreAnd1"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["spans"] for r in S.scan(docs).collect()] == ["", "", ""]
+    assert sorted(r["text"] for r in S.redact(docs).collect()) == sorted(texts)
+
+
+def test_cuts_bound_the_share_of_false_discoveries():
+    """Uniform p-values of random strings, and words below: the cut leaves out the words and little else."""
+    draw = random.Random(5)
+    for n_random, n_words in ((300, 1000), (2000, 50), (100, 0)):
+        bins = [0] * S.BINS
+        for _ in range(n_random):
+            bins[int(draw.random() * S.BINS)] += 1
+        for _ in range(n_words):
+            bins[int(draw.random() ** 4 * 5)] += 1
+        cut = S.limits({("hex", 4): bins})["hex", 4]
+        assert cut <= 0.2
+    sparse = {("hex", size): [1] * S.BINS if size == 3 else [0] * 50 + [1] + [0] * 49 for size in (3, 8, 9)}
+    assert len(set(S.limits(sparse).values())) == 1 and len(S.limits(sparse)) == 3

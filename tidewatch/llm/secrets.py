@@ -11,8 +11,8 @@ For each run the encoding is inferred from its characters, and three tests ask w
 Fisher's method joins them to one p-value, which is uniform for random strings and near 0 for words. The power
 of the tests grows with length, so the share of false discoveries is controlled for each encoding and class of lengths:
 p-values of all documents are counted in ``BINS`` bins; those of at least one half tell how many random strings there
-are, and the cut is the smallest p-value (of at least ``FLOOR``) from which on at most ``FDR`` of the strings are too
-many. Only these counts (at most encodings x lengths x bins) reach the driver.
+are, and the cut is the smallest p-value (of at least ``FLOOR``) from which on at most ``FDR`` of the strings, and one string
+less, are too many; sparse classes are pooled. Only these counts (at most encodings x lengths x bins) reach the driver.
 
 Spans are in code points, ends exclusive. Null texts count as empty and have no spans. Rows are scanned one by
 one, so repeated rows and ids, null ids and extra columns need no rule; an empty table gives an empty table.
@@ -59,6 +59,8 @@ ALPHABETS = {
 _PLACES = {name: {c: i for i, c in enumerate(letters)} for name, letters in ALPHABETS.items()}
 
 BINS, FLOOR, FDR = 100, 0.01, 0.05
+#: p-values above one half that a class of lengths needs to stand for itself.
+ENOUGH = 20
 #: Lengths of a class, and the last class.
 LENGTHS, LAST = 8, 15
 
@@ -157,15 +159,36 @@ def cuts(docs: DataFrame, text: str = "text") -> dict[tuple[str, int], float]:
     strata: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0] * BINS)
     for row in rows.groupBy("name", "size", "bin").agg(F.sum("n").alias("n")).collect():  # bounded by the bins
         strata[row["name"], row["size"]][row["bin"]] = row["n"]
-    found = {}
-    for stratum, bins in strata.items():
-        random = (1 + sum(bins[BINS // 2 :])) / 0.5
-        for k in range(round(FLOOR * BINS), BINS):
-            found_here = sum(bins[k:])
-            if found_here and found_here - random * (1 - k / BINS) <= FDR * found_here:
-                found[stratum] = k / BINS
-                break
-    return found
+    return limits(strata)
+
+
+def limits(strata: dict[tuple[str, int], list[int]]) -> dict[tuple[str, int], float]:
+    """Cuts from the counts of p-values by encoding and class of lengths; none where no discovery is safe.
+
+    ``found`` strings lie at or above a cut, and twice the strings above one half, times what is left above the cut, are random ones: the
+    others are false, and one more is taken for false, so that a few word-like strings alone are never discoveries.
+    Classes of lengths with fewer than ``ENOUGH`` strings above one half are pooled by encoding.
+    """
+    cut = {}
+    for name in sorted({name for name, _ in strata}):
+        pools: list[tuple[list[int], np.ndarray]] = []
+        sparse: tuple[list[int], np.ndarray] = ([], np.zeros(BINS, np.int64))
+        for size in sorted(s for n, s in strata if n == name):
+            bins = np.array(strata[name, size])
+            if bins[BINS // 2 :].sum() >= ENOUGH:
+                pools.append(([size], bins))
+            else:
+                sparse = ([*sparse[0], size], sparse[1] + bins)
+        if sparse[0]:
+            pools.append(sparse)
+        for sizes, bins in pools:
+            random = bins[BINS // 2 :].sum() / 0.5
+            for k in range(round(FLOOR * BINS), BINS):
+                found = bins[k:].sum()
+                if found - random * (1 - k / BINS) + 1 <= FDR * found:
+                    cut.update({(name, size): k / BINS for size in sizes})
+                    break
+    return cut
 
 
 def _spans(column: pa.Array, limits: dict[tuple[str, int], float]) -> dict[int, list[Span]]:
@@ -183,12 +206,12 @@ def _joined(spans: list[Span]) -> str:
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row ``key, n_assign, n_access, n_hex, base_sha256, spans, n_random``."""
-    limits, kind = cuts(docs, text), docs.schema[key].dataType.simpleString()
+    found_limits, kind = cuts(docs, text), docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = hashlib.sha256(b"").hexdigest()
         for block in W.blocks(batches, text):
-            found = _spans(block.column(text), limits)
+            found = _spans(block.column(text), found_limits)
             counts = {k: np.zeros(len(block), np.int64) for k in KINDS}
             digests, joined = [none] * len(block), [""] * len(block)
             for row, spans in found.items():
@@ -210,12 +233,12 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", chars: s
 
     A column ``chars``, if there is one, is counted again where the text changed.
     """
-    limits = cuts(docs, text)
+    found_limits = cuts(docs, text)
     has_chars = chars in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in W.blocks(batches, text):
-            found = _spans(block.column(text), limits)
+            found = _spans(block.column(text), found_limits)
             if found:
                 texts = block.column(text).to_pylist()
                 lengths = block.column(chars).to_pylist() if has_chars else []

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from texts import prose
 
@@ -113,3 +115,70 @@ def test_template_of_short_articles_and_of_each_layout(spark):
     rows += [(-1, "http://s.example.org/", "<body><h2>Not found</h2></body>")]
     got = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {**{k: prose(k, 12) for k in [*range(8), *range(20, 28)]}, -1: "Not found"}
+
+
+def plain_matching(a, b, x=0, y=0):
+    """Simple tree matching as it is stated, size alone."""
+    if a.labels[x] != b.labels[y]:
+        return 0
+    m, n = a.children[x], b.children[y]
+    table = [[0] * (len(n) + 1) for _ in range(len(m) + 1)]
+    for i, p in enumerate(m, 1):
+        for j, q in enumerate(n, 1):
+            table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + plain_matching(a, b, p, q))
+    return 1 + table[-1][-1]
+
+
+def random_tree(draw, n, labels):
+    """Nodes are added to the last ones' parents, so that children come in order of the page."""
+    parents, path = [-1], [0]
+    for node in range(1, n):
+        path = path[: draw.randint(1, len(path))]
+        parents.append(path[-1])
+        path.append(node)
+    return H.Tree(H.pack_tree(parents, ["r", *(draw.choice(labels) for _ in range(n - 1))], [""] * n))
+
+
+@pytest.mark.parametrize("table", [1, H.TABLE])
+def test_matchings_are_as_large_as_plain_ones(monkeypatch, table):
+    monkeypatch.setattr(H, "TABLE", table)
+    draw = random.Random(4)
+    for _ in range(400):
+        labels = draw.choice(["a", "ab", "abc"])
+        a, b = random_tree(draw, draw.randint(1, 14), labels), random_tree(draw, draw.randint(1, 14), labels)
+        size, pairs = H.match(a, b)
+        assert size == plain_matching(a, b) == len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
+        found, up_a, up_b = dict(pairs), parents_of(a), parents_of(b)
+        assert all(a.labels[x] == b.labels[y] and (x == 0 or found[up_a[x]] == up_b[y]) for x, y in pairs)
+        assert all(found[x] < found[z] for x in found for z in found if 0 < x < z and up_a[x] == up_a[z])
+
+
+def parents_of(tree):
+    return {k: node for node, kids in enumerate(tree.children) for k in kids}
+
+
+def flat(root, labels):
+    return H.Tree(H.pack_tree([-1, *[0] * len(labels)], [root, *labels], [""] * (len(labels) + 1)))
+
+
+def test_deep_and_long_trees_are_matched_in_seconds():
+    draw = random.Random(6)
+    deep = [H.Tree(H.pack_tree(list(range(-1, n - 1)), ["d"] * (n - 1) + [last], [""] * n)) for n, last in ((5_000, "p"), (5_000, "q"), (4_000, "p"))]
+    assert H.match(deep[0], deep[1])[0] == 4_999 and H.match(deep[0], deep[2])[0] == 3_999
+    rows = [-1, *(p for k in range(20_000) for p in (0, 1 + 3 * k, 1 + 3 * k))]
+    labels = ["table", *["tr", "td", "td"] * 20_000]
+    table = H.Tree(H.pack_tree(rows, labels, [""] * len(rows)))
+    other = labels.copy()
+    other[30_002], other[50_003] = "th", "th"
+    assert H.match(table, H.Tree(H.pack_tree(rows, other, [""] * len(rows))))[0] == len(rows) - 2
+    mixed = [flat("div", [draw.choice("pqr") for _ in range(n)]) for n in (20_000, 20_000)]
+    size, pairs = H.match(*mixed)
+    assert 12_000 < size == len(pairs) < 18_000
+
+
+def test_a_deep_page_does_not_end_the_job(spark):
+    depth = 2_000
+    pages = [(k, f"http://h/{k}", page(prose(k, 40), k)) for k in range(6)]
+    pages.append((7, "http://h/deep", "<div>" * depth + "<p>far down</p>" + "</div>" * depth))
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert len(got) == 7 and "far down" in got[7]

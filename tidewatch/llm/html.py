@@ -249,52 +249,146 @@ class Tree:
         for node, parent in enumerate(parents):
             if parent:
                 self.children[parent - 1].append(node)
+        #: Hash of the labels in each subtree and how they are nested, and its number of nodes. Children come after their parents.
+        self.shapes, self.nodes = [0] * n, [1] * n
+        for node in reversed(range(n)):
+            kids = self.children[node]
+            self.shapes[node] = hash((self.labels[node], *(self.shapes[k] for k in kids)))
+            self.nodes[node] += sum(self.nodes[k] for k in kids)
 
 
-def _common(a: Tree, b: Tree, x: list[int], y: list[int]) -> list[tuple[int, int]]:
-    """Pairs of leaves on a longest common sequence of labels; equal ends are on one."""
-    head = 0
-    while head < min(len(x), len(y)) and a.labels[x[head]] == b.labels[y[head]]:
-        head += 1
-    tail = 0
-    while tail < min(len(x), len(y)) - head and a.labels[x[-1 - tail]] == b.labels[y[-1 - tail]]:
-        tail += 1
-    pairs = list(zip(x[:head], y[:head], strict=True)) + list(zip(x[len(x) - tail :], y[len(y) - tail :], strict=True))
-    return pairs + _best(x[head : len(x) - tail], y[head : len(y) - tail], lambda i, j: (int(a.labels[i] == b.labels[j]), [(i, j)]))[1]
-
-
-def _best(x: list[int], y: list[int], weight) -> tuple[int, list[tuple[int, int]]]:
-    """The heaviest matching of two sequences in order, and the pairs in it."""
-    if not x or not y:
-        return 0, []
-    weights = [[weight(i, j) for j in y] for i in x]
-    table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(1, len(x) + 1):
-        for j in range(1, len(y) + 1):
-            table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + weights[i - 1][j - 1][0])
-    pairs, i, j = [], len(x), len(y)
-    while i and j:
-        value, found = weights[i - 1][j - 1]
-        if value and table[i][j] == table[i - 1][j - 1] + value:
-            pairs += found
-            i, j = i - 1, j - 1
-        elif table[i][j] == table[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return table[-1][-1], pairs
+#: Cells of a table that is kept whole; larger ones are halved, so that memory grows with a row.
+TABLE = 1 << 10
+
+
+def _last_row(weights: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The weight of the heaviest matching in order of all of ``x`` with every beginning of ``y``."""
+    row = np.zeros(len(y) + 1, np.int64)
+    for i in x.tolist():
+        row[1:] = np.maximum(row[1:], row[:-1] + weights[i][y])
+        np.maximum.accumulate(row, out=row)
+    return row
+
+
+def _in_order(weights: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+    """Places in two sequences of classes that the heaviest matching in order pairs; ``weights`` are those of two classes."""
+    todo, pairs = [(0, len(x), 0, len(y))], []
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if (b - a) * (d - c) <= TABLE or b - a == 1:
+            table = [np.zeros(d - c + 1, np.int64)]
+            for i in x[a:b].tolist():
+                row = table[-1].copy()
+                row[1:] = np.maximum(row[1:], row[:-1] + weights[i][y[c:d]])
+                table.append(np.maximum.accumulate(row))
+            i, j = b - a, d - c
+            while i and j:
+                if table[i][j] == table[i - 1][j]:
+                    i -= 1
+                elif table[i][j] == table[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    pairs.append((a + i, c + j))
+            continue
+        middle = (a + b) // 2
+        upper, lower = _last_row(weights, x[a:middle], y[c:d]), _last_row(weights, x[middle:b][::-1], y[c:d][::-1])
+        cut = c + int((upper + lower[::-1]).argmax())
+        todo += [(a, middle, c, cut), (middle, b, cut, d)]
+    return pairs
+
+
+class _Matching:
+    """Simple tree matching of two trees, without recursion: nodes of equal subtrees are paired at once, sizes are kept by pair of shapes."""
+
+    def __init__(self, a: Tree, b: Tree):
+        self.a, self.b = a, b
+        self.known: dict[tuple[int, int], int] = {}
+
+    def ends(self, x: int, y: int) -> tuple[list[int], list[int], int, int]:
+        """The children of two nodes, and how many at the beginning and at the end are equal subtrees."""
+        kids_a, kids_b = self.a.children[x], self.b.children[y]
+        head, most = 0, min(len(kids_a), len(kids_b))
+        while head < most and self.a.shapes[kids_a[head]] == self.b.shapes[kids_b[head]]:
+            head += 1
+        tail = 0
+        while tail < most - head and self.a.shapes[kids_a[-1 - tail]] == self.b.shapes[kids_b[-1 - tail]]:
+            tail += 1
+        return kids_a, kids_b, head, tail
+
+    def middle(self, x: int, y: int):
+        """Children between equal ends, their classes, and a node of each class."""
+        kids_a, kids_b, head, tail = self.ends(x, y)
+        kids_a, kids_b = kids_a[head : len(kids_a) - tail], kids_b[head : len(kids_b) - tail]
+        if not kids_a or not kids_b:
+            return kids_a, kids_b, [], [], None, None
+        first_a, first_b = {self.a.shapes[k]: k for k in reversed(kids_a)}, {self.b.shapes[k]: k for k in reversed(kids_b)}
+        of_a, of_b = ({shape: i for i, shape in enumerate(first)} for first in (first_a, first_b))
+        classes_a = np.array([of_a[self.a.shapes[k]] for k in kids_a])
+        classes_b = np.array([of_b[self.b.shapes[k]] for k in kids_b])
+        return kids_a, kids_b, list(first_a.values()), list(first_b.values()), classes_a, classes_b
+
+    def size(self, x: int, y: int) -> int | None:
+        """The size of the matching of two nodes if it is known or plain."""
+        if self.a.labels[x] != self.b.labels[y]:
+            return 0
+        if self.a.shapes[x] == self.b.shapes[y]:
+            return self.a.nodes[x]
+        if not self.a.children[x] or not self.b.children[y]:
+            return 1
+        return self.known.get((self.a.shapes[x], self.b.shapes[y]))
+
+    def weights(self, nodes_a: list[int], nodes_b: list[int]) -> np.ndarray:
+        return np.array([[self.size(i, j) for j in nodes_b] for i in nodes_a], np.int64)
+
+    def measure(self, x: int, y: int) -> int:
+        """The size of the matching of two nodes; what it needs is measured first, on a stack."""
+        stack = [(x, y)]
+        while stack:
+            i, j = stack[-1]
+            if self.size(i, j) is not None:
+                stack.pop()
+                continue
+            kids_a, kids_b, nodes_a, nodes_b, classes_a, classes_b = self.middle(i, j)
+            open_ = [(p, q) for p in nodes_a for q in nodes_b if self.size(p, q) is None]
+            if open_:
+                stack += open_
+                continue
+            stack.pop()
+            all_a, _, head, tail = self.ends(i, j)
+            equal = sum(self.a.nodes[k] for k in all_a[:head] + all_a[len(all_a) - tail :])
+            best = int(_last_row(self.weights(nodes_a, nodes_b), classes_a, classes_b)[-1]) if nodes_a else 0
+            self.known[self.a.shapes[i], self.b.shapes[j]] = 1 + equal + best
+        return self.size(x, y)
+
+    def pairs(self, x: int, y: int) -> list[tuple[int, int]]:
+        out, stack = [], [(x, y)] if self.measure(x, y) else []
+        while stack:
+            i, j = stack.pop()
+            out.append((i, j))
+            if self.a.shapes[i] == self.b.shapes[j]:
+                stack += zip(self.a.children[i], self.b.children[j], strict=True)
+                continue
+            all_a, all_b, head, tail = self.ends(i, j)
+            stack += zip(all_a[:head], all_b[:head], strict=True)
+            stack += zip(all_a[len(all_a) - tail :], all_b[len(all_b) - tail :], strict=True)
+            kids_a, kids_b, nodes_a, nodes_b, classes_a, classes_b = self.middle(i, j)
+            if nodes_a:
+                stack += ((kids_a[p], kids_b[q]) for p, q in _in_order(self.weights(nodes_a, nodes_b), classes_a, classes_b))
+        return out
 
 
 def match(a: Tree, b: Tree, x: int = 0, y: int = 0) -> tuple[int, list[tuple[int, int]]]:
-    """Simple tree matching of two nodes: the size of the largest matching that keeps order and parents, and its pairs."""
-    if a.labels[x] != b.labels[y]:
-        return 0, []
-    kids_a, kids_b = a.children[x], b.children[y]
-    if not any(a.children[k] for k in kids_a) and not any(b.children[k] for k in kids_b):
-        pairs = _common(a, b, kids_a, kids_b)
-        return 1 + len(pairs), [(x, y), *pairs]
-    size, pairs = _best(kids_a, kids_b, lambda i, j: match(a, b, i, j))
-    return 1 + size, [(x, y), *pairs]
+    """Simple tree matching of two nodes: the size of the largest matching that keeps order and parents, and its pairs.
+
+    Neither depth nor length is cut. Equal subtrees at the ends of two lists of children are paired at once, which no other
+    matching beats. Of the rest, children of one shape are one class, and a list is aligned by rows: memory grows with the number of
+    children and of pairs of different shapes, time with the product of the rests.
+    """
+    pairs = _Matching(a, b).pairs(x, y)
+    return len(pairs), pairs
 
 
 def _host(url: str):

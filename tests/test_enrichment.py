@@ -269,3 +269,22 @@ def test_skewed_lookup_is_whole(rows, broadcasts):
     for how in ("left", "inner"):
         want = sorted(map(str, big.join(table, "k", how).select("i", "k", "v").collect()))
         assert sorted(map(str, joins.lookup(big, table, "k", how).collect())) == want
+
+
+def test_word_vectors_of_any_size(rows):
+    """No dimension beyond the first hash is constant, and words of like company lie closer than strangers."""
+    pairs = [("cat", "purrs softly"), ("kitten", "purrs softly"), ("engine", "burns diesel"), ("motor", "burns diesel")]
+    df = rows([(i, f"{w} {rest} {w}{i}") for i, (w, rest) in enumerate(pairs * 8)], "post_id int, text string")
+    found = {r.word: r.v for r in semantic.fit_word_vectors(df, size=200).collect()}
+    assert all(len(v) == 200 for v in found.values())
+    words = [found[w] for w in ("cat", "kitten", "engine", "motor")]
+    assert sum(len({v[i] for v in words}) > 1 for i in range(128, 200)) > 40
+
+    def near(a, b):
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True))
+        return dot(found[a], found[b]) / (dot(found[a], found[a]) * dot(found[b], found[b])) ** 0.5
+
+    assert near("cat", "kitten") > max(near("cat", "engine"), near("kitten", "motor"))
+    assert near("engine", "motor") > max(near("engine", "kitten"), near("motor", "cat"))
+    small = {r.word: r.v for r in semantic.fit_word_vectors(df, size=32).collect()}
+    assert all(found[w][:32] == small[w] for w in small)

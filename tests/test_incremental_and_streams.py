@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tidewatch import constants, session
 from tidewatch.operators import clean, incremental, keyphrases, language, trends
-from tidewatch.plans import load_job, trend_job
+from tidewatch.plans import load_job, selection_job, trend_job
 from tidewatch.plans.enrichment import Resources, enrich_posts
 from tidewatch.plans.warehouse import load_increment
 from tidewatch.schemas import KEYWORDS, MESSAGE, STREAMED_POSTS
-from tidewatch.sinks import publish, publish_stream, tables, to_messages, upsert_database, upsert_table
+from tidewatch.sinks import publish, publish_stream, tables, to_messages, upsert_database, upsert_table, write_bucketed
 from tidewatch.sources import read_message_stream, read_table, views
 from tidewatch.sources.tables import jdbc_options
 from tidewatch.sources import select_posts
@@ -137,6 +137,18 @@ def test_rejected_events_are_kept(spark, sf, tmp_path):
     assert sorted(r.value for r in spark.read.parquet(rejects).collect()) == sorted(r.value for r in others.collect())
 
 
+def test_the_feed_job_reads_and_writes_folders(spark, sf, tmp_path):
+    source, messages, rejects, checkpoint = (str(tmp_path / d) for d in ("in", "messages", "rejects", "checkpoint"))
+    events = views.raw_events(spark, sf).select("value")
+    events.coalesce(1).write.text(source)
+    where = ["--events", source, "--messages", messages, "--rejects", rejects, "--checkpoint", checkpoint, "--once"]
+    for _ in range(2):  # the second time there is nothing new
+        selection_job.main(where)
+    posts, others = select_posts(events)
+    assert sorted(map(str, spark.read.text(messages).collect())) == sorted(map(str, to_messages(posts).collect()))
+    assert spark.read.parquet(rejects).count() == others.count()
+
+
 def test_repeated_messages_are_stored_once(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / d) for d in ("in", "out", "checkpoint"))
     values = [(json.dumps({"did": "a", "createdAt": None, "text": t}),) for t in ("x", "x", "y")]
@@ -435,3 +447,25 @@ def test_a_repeated_micro_batch_keeps_its_late_posts_once(spark, rows, tmp_path)
     for batch_id in (0, 1, 1):
         keep_late(posts, late, batch_id, "2 hours")
     assert [r.post_id for r in spark.read.parquet(late).collect()] == [2]
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark, rows, tmp_path):
+    """Anti-join, join of ids and bridge: no exchange of either side, and the rows of plain tables."""
+    posts = spark.range(1000).select(F.col("id").alias("post_id"), F.col("id").cast("string").alias("did"))
+    done, ids = posts.filter("post_id % 3 = 0").select("post_id"), posts.select("post_id", (F.col("post_id") + 7).alias("stored_id"))
+    name = f"t_{uuid.uuid4().hex}"
+    stored = {k: write_bucketed(df, f"{name}_{k}", "post_id", 4, str(tmp_path / k)) for k, df in (("posts", posts), ("done", done), ("ids", ids))}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        fresh = incremental.join_ids(incremental.unprocessed(stored["posts"], stored["done"], "post_id"), stored["ids"], "post_id")
+        counted = fresh.groupBy("post_id").count()
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        plain = incremental.join_ids(incremental.unprocessed(posts, done, "post_id"), ids, "post_id")
+        assert sorted(map(str, fresh.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for k in stored:
+            spark.sql(f"DROP TABLE {name}_{k}")
+    assert len(list((tmp_path / "posts").glob("*.parquet"))) == 4

@@ -1,6 +1,6 @@
 """Keyphrases ranked by closeness of meaning to the whole post.
 
-A word's base is a vector of signs taken from the bits of its MD5. Its vector is the sum of the bases of all words
+A word's base is a vector of signs taken from the bits of its MD5, of any length. Its vector is the sum of the bases of all words
 of all posts that have the word, so words of like company point the same way. The sums are whole numbers: neither the
 order of rows nor the number of tasks changes them, and nothing but rows of words is shuffled.
 """
@@ -17,12 +17,16 @@ from tidewatch.operators.joins import lookup
 from tidewatch.operators.keyphrases import phrases_of, with_words
 from tidewatch.session import stage
 
-#: Length of the vectors, at most the 32 bits that are taken from a hash.
+#: Length of the vectors.
 SIZE = 32
+#: Signs that are taken from one part of a hash, and such parts of a hash.
+_SIGNS, _PARTS = 32, 4
 
 
-def _bits(word: Column) -> Column:
-    return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint")
+def _bits(word: Column, block: int = 0) -> Column:
+    """The signs of one block of 32 dimensions: a quarter of the word's MD5, and after four blocks of that of a longer word."""
+    text = word if block < _PARTS else F.concat(word, F.lit(f" {block // _PARTS}"))
+    return F.conv(F.substring(F.md5(text), 1 + 8 * (block % _PARTS), 8), 16, 10).cast("bigint")
 
 
 def fit_word_vectors(
@@ -31,11 +35,13 @@ def fit_word_vectors(
 ) -> DataFrame:
     """``word, v`` of every word of at least ``min_count`` posts, written to shared storage; runs a job when called."""
     words = with_words(df.select(text), stop_words, text).select(F.array_distinct("_words").alias("_words"))
-    hashed = words.select("_words", F.transform("_words", _bits).alias("_b"))
+    blocks = range(-(-size // _SIGNS))
+    hashed = words.select("_words", *[F.transform("_words", lambda w, k=k: _bits(w, k)).alias(f"_b{k}") for k in blocks])
 
     def dimension(i: int) -> Column:
-        ones = F.aggregate("_b", F.lit(0).cast("bigint"), lambda s, b: s + F.shiftright(b, i).bitwiseAND(F.lit(1)))
-        return F.size("_b") - 2 * ones
+        bits, at = f"_b{i // _SIGNS}", i % _SIGNS
+        ones = F.aggregate(bits, F.lit(0).cast("bigint"), lambda s, b: s + F.shiftright(b, at).bitwiseAND(F.lit(1)))
+        return F.size(bits) - 2 * ones
 
     company = hashed.select("_words", *[dimension(i).alias(f"v{i}") for i in range(size)])
     each = company.select(F.explode("_words").alias("word"), *[f"v{i}" for i in range(size)])

@@ -1,5 +1,7 @@
 """Incremental loads and upserts."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import stored_keywords
@@ -7,8 +9,8 @@ from tidewatch.operators import clean, incremental, trends
 from tidewatch.queries.registry import query, view
 from tidewatch.queries.trends import HOURLY_SQL, hourly, printable
 from tidewatch.schemas import TREND_KEY
-from tidewatch.session import stage
-from tidewatch.sinks import upsert
+from tidewatch.session import new_folder, stage
+from tidewatch.sinks import upsert, write_bucketed
 from tidewatch.sources import views
 
 view("pairs", "SELECT DISTINCT post_id, keyword AS keyword_name FROM keyword_rows", "keyword_rows")
@@ -62,6 +64,25 @@ def unprocessed_posts(spark, sf):
     return incremental.unprocessed(raw, done)
 
 
+@query(
+    """SELECT post_id, keyword_name, did FROM pairs JOIN (SELECT post_id, did FROM posts_wide WHERE post_id % 3 <> 0) USING (post_id)""",
+    "pairs",
+    "posts_wide",
+)
+def bucketed_tables(spark, sf):
+    """Posts not loaded yet and their names, by an anti-join and a join of tables bucketed by the post's key."""
+    name = f"tidewatch_{uuid.uuid4().hex}"
+
+    def stored(df, what):
+        return write_bucketed(df, f"{name}_{what}", "post_id", 8, new_folder(spark, f"bucketed-{what}"))
+
+    posts = stored(views.posts_wide(spark, sf).select("post_id", "did"), "posts")
+    done = stored(views.posts_wide(spark, sf).filter("post_id % 3 = 0").select("post_id"), "done")
+    names = stored(_pairs(spark, sf), "names")
+    fresh = incremental.unprocessed(posts, done, "post_id")
+    return incremental.join_ids(names, fresh, "post_id").select("post_id", "keyword_name", "did")
+
+
 @query("SELECT * FROM new_names", "new_names")
 def new_keyword_names(spark, sf):
     return incremental.new_members(_dimension(spark, sf), _pairs(spark, sf))

@@ -8,7 +8,8 @@ Three passes of numpy inside Spark tasks, with packed arrays instead of a row fo
 
 1. Blocks of documents are hashed. Within a block each hash keeps its first place and the rest are known to
    be repeats at once, so a passage that stands in a third of all documents is shipped once per block.
-   Hashes are dealt by their upper bits into parts.
+   Hashes are dealt by their upper bits into parts, as many as the measured text asks for, so that no part grows with the
+   table. (A block writes a row for each part it meets: beyond some ten terabytes those rows hold few hashes each.)
 2. A part sorts its hashes, finds those of several blocks and names all their places but the first. Places
    are dealt by a hash of their document.
 3. The places of a document merge into intervals, which are joined to the documents.
@@ -25,20 +26,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import words as W
 
 WINDOW = 20
+#: Text whose windows' hashes make one part (some four times as much while it is sorted), and parts of a small table.
+PART_BYTES, LEAST_PARTS = 32 << 20, 16
 
 _PARTS = "part int, hashes binary, docs binary, starts binary, ids binary, gone_ids binary, gone_starts binary"
 _PLACES = "part int, ids binary, starts binary"
 
 
-def n_parts(spark: SparkSession) -> int:
-    """As many parts as the session's shuffles have partitions, which follow the size of the input."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def n_parts(docs: DataFrame, text: str) -> int:
+    """Parts of ``PART_BYTES`` of text each, by one sum over the table, so that no group grows with it."""
+    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    return max(LEAST_PARTS, -(-size // PART_BYTES))
 
 
 def _slots(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -115,7 +119,7 @@ def _repeated(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def repeated_intervals(docs: DataFrame, size: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, froms, tos``: the maximal intervals of words (ends exclusive) that go, of each document that has any."""
-    parts = n_parts(docs.sparkSession)
+    parts = n_parts(docs, text)
     kind = docs.schema[key].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +166,8 @@ def repeated_intervals(docs: DataFrame, size: int = WINDOW, key: str = "doc_id",
 
     return (
         docs.select(key, text).mapInArrow(hashed, _PARTS)
-        .groupBy("part").applyInArrow(places, _PLACES)
-        .groupBy("part").applyInArrow(merged, f"`{key}` long, froms array<long>, tos array<long>")
+        .repartition(parts, "part").groupBy("part").applyInArrow(places, _PLACES)
+        .repartition(parts, "part").groupBy("part").applyInArrow(merged, f"`{key}` long, froms array<long>, tos array<long>")
         .withColumn(key, F.col(key).cast(kind))
     )
 

@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     enrich = None
     if args.profile:
         resources = Resources(load_language_profile(spark.read.parquet(args.profile)))
-        enrich = partial(enrich_posts, resources=resources, key="post_key")
+        enrich = partial(enrich_posts, resources=resources, key="post_key", checked=True)  # the stream drops repeats
     run_enrichment(messages.selectExpr("CAST(value AS STRING) AS value"), enrich, args.posts, args.checkpoint).awaitTermination()
 
 

@@ -103,3 +103,20 @@ def test_components(spark):
 def test_sets_of_a_block():
     rows, hashes = N.shingle_sets(pa.array(["a b c d a b c d a b c d", "A b", None, "a B"]), 4)
     assert np.bincount(rows, minlength=4).tolist() == [4, 1, 0, 1] and hashes[-1] == hashes[-2]
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_texts_that_share_an_id_keep_all_their_links(spark, turned):
+    """Both texts of id 5 have a near copy, and ids 20 and 21 meet only by way of the second text of 20."""
+    a, b, c, d = (prose(k, 200) for k in (1, 2, 3, 4))
+    rows = [(5, a), (5, b), (8, edited(a, 0.005, 1)), (9, edited(b, 0.005, 2)), (20, c), (20, d), (21, d.upper()), (21, d), (3, None), (3, edited(c, 0.005, 3))]
+    rows += [(5, a), (30, "one"), (31, "ONE"), (31, "two"), (32, "two")]
+    rows = rows[::-1] if turned else rows
+    want = check(rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert want == {5: 5, 8: 5, 9: 5, 20: 3, 21: 3, 3: 3, 30: 30, 31: 30, 32: 30}
+
+
+def test_ids_of_text(spark):
+    base = prose(6, 100)
+    rows = [("b", base), ("a", edited(base, 0.01, 1)), ("c", prose(7, 80)), ("c", base), ("d", prose(7, 80))]
+    check(rows, spark.createDataFrame(rows, "doc_id string, text string"))

@@ -6,7 +6,8 @@ have a Jaccard similarity of at least ``PERCENT`` in a hundred; a component is w
 1. Sketch: 200 MinHash values make 40 bands of 5, so two sets of similarity 0.8 share no band with a chance of
    (1 - 0.8**5)**40 < 2e-7. The same values, hashed to 512 bits by parity, are the odd sketch: the number of
    bits that differ between two sketches tells how many values differ.
-2. Documents with equal sets are one class, known by its smallest id; only that one goes on.
+2. Documents with equal sets are one class, and each class is a node with a number of its own; only one row of it goes on.
+   Classes that share an id are linked from the start.
 3. Stars: each bucket of a band compares its members with one leader, so pairs stay in proportion to
    members. A pair whose odd sketches are farther apart than those of similarity ``SKETCH_FLOOR`` is dropped
    (five standard errors below the limit); all others are confirmed on the full sets.
@@ -16,7 +17,7 @@ have a Jaccard similarity of at least ``PERCENT`` in a hundred; a component is w
    be confirmed on the full sets too. No cap: a pair in a bucket is either inside one component or has been compared.
 
 Null or empty texts have an empty set, link with nothing and stay. A null id is in no component and stays.
-Rows that share an id are one node: they have the same component. Other columns are not read.
+Rows that share an id have the same component, with all that any of their texts links with. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -96,12 +97,19 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), pa.array(flat))
 
 
+def _marked(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
+
+
 def sketches(docs: DataFrame, key: str, text: str, size: int = SIZE) -> DataFrame:
-    """``id, n_shingles, set_a, set_b, bands, odd`` of every row; bands and odd are empty lists for an empty set."""
+    """``id, mark, n_shingles, set_a, set_b, bands, odd`` of every row; bands and odd are null for an empty set.
+
+    ``mark`` is a hash of the text, which tells texts of one id apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in W.blocks(batches, text):
-            rows, hashes = shingle_sets(block.column(text), size)
+        for block in W.blocks(batches, "text"):
+            rows, hashes = shingle_sets(block.column("text"), size)
             counts = np.bincount(rows, minlength=len(block))
             filled = np.flatnonzero(counts)
             bounds = np.concatenate([[0], np.cumsum(counts[filled])])
@@ -119,13 +127,13 @@ def sketches(docs: DataFrame, key: str, text: str, size: int = SIZE) -> DataFram
                     total[filled] = np.add.reduceat(W.mix(hashes + _TERMS[seed]), bounds[:-1])
                 sums.append(pa.array(total.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [block.column(key), pa.array(counts.astype(np.int64)), *sums, *(x.take(where) for x in lists)],
-                ["id", "n_shingles", "set_a", "set_b", "bands", "odd"],
+                [block.column("id"), block.column("mark"), pa.array(counts.astype(np.int64)), *sums, *(x.take(where) for x in lists)],
+                ["id", "mark", "n_shingles", "set_a", "set_b", "bands", "odd"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    fields = "n_shingles long, set_a long, set_b long, bands array<long>, odd array<long>"
-    return docs.select(key, text).mapInArrow(run, f"id {kind}, {fields}")
+    fields = "mark long, n_shingles long, set_a long, set_b long, bands array<long>, odd array<long>"
+    return _marked(docs, key, text).mapInArrow(run, f"id {kind}, {fields}")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -261,17 +269,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     """Per row ``key, n_shingles, component_id, kept``; a component keeps its smallest id."""
     sk = stage(sketches(docs, key, text, size), "sketches")
     whole = sk.filter("n_shingles > 0 AND id IS NOT NULL")
-    classes = stage(whole.groupBy("set_a", "set_b").agg(F.min("id").alias("class")), "classes")
-    firsts = classes.select(F.col("class").alias("id")).distinct()
-    rows = whole.join(firsts, "id").select("id", F.explode("bands").alias("bucket"))
+    classes = whole.groupBy("set_a", "set_b").agg(F.min("id").alias("id"), F.min_by("mark", "id").alias("mark"))
+    # numbered as they are written: each number is read from the staged table ever after
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    firsts = whole.join(classes.select("id", "mark", "set_a", "set_b", "node"), ["id", "mark", "set_a", "set_b"])
+    rows = firsts.select(F.col("node").alias("id"), F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     members = stage(rows.join(shared.select("bucket"), "bucket").distinct(), "buckets")
     ids = members.select("id").distinct()
-    sketched = stage(whole.select("id", "odd", "bands").join(ids, "id").dropDuplicates(["id"]), "sketched")
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids, "id")
-    texts = stage(texts, "texts")
-
-    links = tested = labels = None
+    sketched = firsts.select(F.col("node").alias("id"), "odd", "bands").join(ids, "id").dropDuplicates(["id"])
+    sketched = stage(sketched, "sketched")
+    wanted = classes.select("id", "mark", "node").join(ids.withColumnRenamed("id", "node"), "node")
+    texts = _marked(docs, key, text).join(wanted, ["id", "mark"]).select(F.col("node").alias("id"), "text")
+    texts = stage(texts.dropDuplicates(["id"]), "texts")
+    named = whole.select("id", "set_a", "set_b").join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
+    named = stage(named.select("id", "node").distinct(), "named")
+    same = named.groupBy("id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
+    same = stage(named.join(same, "id").select(F.col("lo").alias("a"), F.col("node").alias("b")).filter("a < b"), "same-id")
+
+    links, tested, labels = same, None, None
     for round_ in range(STARS + 1):
         several = _open(members, labels)
         if labels is not None:
@@ -284,12 +300,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         pairs = stage(pairs, "pairs")
         found = stage(_confirmed(pairs, texts, size), "confirmed")
         tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
+        links = links.union(found)
         labels = components(links)
 
-    named = whole.select("id", "set_a", "set_b").join(classes, ["set_a", "set_b"])
-    named = named.join(labels.withColumnRenamed("id", "class"), "class", "left")
-    reached = named.select("id", F.coalesce("component", "class").alias("component")).groupBy("id").agg(F.min("component").alias("component"))
+    # every node's label, and from the least id of each class the least of each label
+    label = F.coalesce("component", "node").alias("label")
+    ranked = classes.select("node", "id").join(labels.withColumnRenamed("id", "node"), "node", "left").select("node", "id", label)
+    least = ranked.groupBy("label").agg(F.min("id").alias("component"))
+    reached = named.join(ranked.select("node", "label"), "node").join(least, "label").select("id", "component").distinct()
     component = F.coalesce("component", "id")
     return (
         sk.select("id", "n_shingles").join(reached, "id", "left")
@@ -301,6 +319,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def firsts(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns.
+
+    Rows without an id are in no component: all of them stay, copies too.
+    """
     gone = near_duplicates(docs, key, text, size).filter("NOT kept").select(key).distinct()
     return docs.join(gone, key, "left_anti").select(*docs.columns)

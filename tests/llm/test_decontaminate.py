@@ -96,3 +96,25 @@ def test_weighted_similarity(a, b):
     zeros = lambda n: np.zeros(n, np.int64)
     assert D.similarity(zeros(len(x)), x, zeros(len(y)), y, 1)[0] == pytest.approx(want)
     assert re.fullmatch("[a-z]+", a)
+
+
+def test_the_index_retrieves_few_unrelated_items():
+    rng = np.random.default_rng(3)
+    items = D.Items(list(range(3000)), [prose(k, 12) for k in range(3000)])
+    windows = rng.integers(0, 1 << 63, (200, 2), np.uint64)
+    which, item = items._retrieved(12, windows)
+    assert len(np.unique(which * 3000 + item)) == len(which) < 0.1 * 200 * 3000
+    prints = np.concatenate([items.index[12][1][:500]] * 2)
+    which, item = items._candidates(12, prints)
+    near = np.bitwise_count(prints[:, None] ^ items.index[12][1][None]).sum(axis=2) <= D.RADIUS
+    assert sorted(zip(which.tolist(), item.tolist(), strict=True)) == [tuple(p) for p in np.argwhere(near).tolist()]
+
+
+def test_items_without_an_id(spark):
+    items = [(None, prose(801, 30)), (None, prose(802, 30)), (4, prose(802, 30)), (None, prose(803, 30)), (9, prose(803, 31)), (None, None)]
+    docs = [(k, prose(800 + k, 31) + " " + prose(k, 20)) for k in range(5)]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["item_id"], r["n_items"]) for r in D.leaks(docs, items).collect()}
+    assert got == {1: (None, 1), 2: (4, 1), 3: (9, 2)}
+    assert sorted(r["doc_id"] for r in D.clean(docs, items).collect()) == [0, 4]

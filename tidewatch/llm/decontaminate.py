@@ -6,20 +6,23 @@ words, one from each word on, are its counterparts in a document; a shorter docu
 operator finds the windows whose weighted Jaccard similarity with the item is at least ``SIMILARITY``:
 
 1. Windows too few of whose shingles stand in any item to reach that similarity are left out (an exact bound).
-2. The others get a SimHash of 128 bits. Items of that length are indexed by the 32 blocks of 4 bits of theirs;
-   two fingerprints at most 31 bits apart agree in a block, so all of those are found. At the limit of
-   similarity 20 bits are expected to differ, with a standard error of 4.
+2. The others get a SimHash of 128 bits. Items of that length are indexed by the 8 blocks of 16 bits of theirs: of two
+   fingerprints at most 31 bits apart, some block differs in at most 3 bits, so all of those are found. An item's
+   blocks are kept with all values one bit away, and a window's are looked up with all values up to two bits away. Some 8 % of unrelated
+   items are retrieved. At the limit of similarity 20 bits are expected to differ, with a standard error of 4.
 3. Candidates are verified on the full multisets.
 
-The benchmark is measured first and read in blocks of at most ``BENCHMARK_BYTES`` of text, one search each; equal
-items count once, as the smallest id. Null and empty texts match nothing, on either side. Documents are judged
-row by row, without a shuffle; reports merge rows that share an id. Null ids are reported as null.
+The benchmark is measured first and read in blocks of at most ``BENCHMARK_BYTES`` of text, one search and one scan of the
+documents each; equal items count once, as the smallest id. Null and empty texts match nothing, on either side. An item
+without an id is an item like others, reported as null, after all ids where items tie. Documents are judged
+row by row, without a shuffle; reports merge rows that share an id. Null ids of documents are reported as null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +39,20 @@ BENCHMARK_BYTES = 16 << 20
 #: Windows fingerprinted at a time.
 SLICE = 2048
 
-_BLOCKS = RADIUS + 1
+_BLOCKS, _BITS = 8, 16
 _FILTER_BITS = 22
 
 
+def _flips(most: int) -> np.ndarray:
+    """All values of a block with at most that many bits set."""
+    return np.array([sum(1 << b for b in c) for n in range(most + 1) for c in combinations(range(_BITS), n)], np.int32)
+
+
+#: Bits of a block that the index flips in items and the search in windows: together at least ``RADIUS // _BLOCKS``.
+_OF_ITEMS = _flips(1)
+_OF_WINDOWS = _flips(RADIUS // _BLOCKS - 1)
+
+
 def _expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For ranges lo:hi, the number of the range and each place in it."""
     n = hi - lo
@@ -76,6 +89,7 @@ class Items:
 
     def __init__(self, ids: list, texts: list[str | None]):
         order = sorted((i for i in range(len(ids)) if ids[i] is not None), key=lambda i: ids[i])
+        order += [i for i in range(len(ids)) if ids[i] is None]
         words = W.cut(pa.array([texts[i] for i in order], pa.string()), W.PLAIN)
         rows, hashes = W.shingles(words, SIZE)
         bounds = np.searchsorted(rows, np.arange(len(order) + 1))
@@ -95,26 +109,38 @@ class Items:
         self.index = {}
         for length, members in self.classes.items():
             prints = simhash(np.stack([self.lists[m] for m in members]))
-            blocks = self._blocks(prints)
-            by_block = np.argsort(blocks, axis=0, kind="stable")
-            self.index[length] = (np.array(members), prints, np.take_along_axis(blocks, by_block, 0), by_block)
+            values = (self._blocks(prints)[:, :, None] ^ _OF_ITEMS).reshape(len(members), -1)
+            order = np.argsort(values, axis=None, kind="stable")
+            values = values.ravel()[order]
+            present = np.zeros(_BLOCKS << _BITS, np.uint8)
+            present[values] = 1
+            self.index[length] = (np.array(members), prints, np.packbits(present), values, order // (_BLOCKS * len(_OF_ITEMS)))
 
     @staticmethod
     def _blocks(prints: np.ndarray) -> np.ndarray:
-        octets = prints.view(np.uint8)
-        return np.stack([octets >> 4, octets & 15], axis=2).reshape(len(prints), _BLOCKS)
+        """Each fingerprint's blocks, with their numbers above their values."""
+        return prints.view(np.uint16).astype(np.int32) + (np.arange(_BLOCKS, dtype=np.int32) << _BITS)
+
+    def _retrieved(self, length: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fingerprints and places of items (of that length) of which some block differs in few bits."""
+        members, _, present, values, at_item = self.index[length]
+        probes = (self._blocks(prints)[:, :, None] ^ _OF_WINDOWS).reshape(len(prints), -1)
+        which, column = np.nonzero((present[probes >> 3] << (probes & 7).astype(np.uint8)) & 128)
+        probe = probes[which, column]
+        each, at = _expand(*(np.searchsorted(values, probe, side) for side in ("left", "right")))
+        return np.divmod(np.unique(which[each] * len(members) + at_item[at]), len(members))
 
     def _candidates(self, length: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Windows and items (of that length) whose fingerprints are within the radius."""
-        members, own, values, by_block = self.index[length]
-        blocks, pairs = self._blocks(prints), []
-        for k in range(_BLOCKS):
-            lo, hi = (np.searchsorted(values[:, k], blocks[:, k], side) for side in ("left", "right"))
-            which, at = _expand(lo, hi)
-            pairs.append(which * len(members) + by_block[at, k])
-        which, item = np.divmod(np.unique(np.concatenate(pairs)), len(members))
-        near = np.bitwise_count(prints[which] ^ own[item]).sum(axis=1) <= RADIUS
-        return which[near], members[item[near]]
+        members, own = self.index[length][:2]
+        # windows of copies are alike: each different fingerprint is looked for once
+        different, number = np.unique(prints, axis=0, return_inverse=True)
+        which, item = self._retrieved(length, different)
+        near = np.bitwise_count(different[which] ^ own[item]).sum(axis=1) <= RADIUS
+        which, item = which[near], item[near]
+        lo, hi = (np.searchsorted(which, number, side) for side in ("left", "right"))
+        window, at = _expand(lo, hi)
+        return window, members[item[at]]
 
     def _windows(self, words: W.Words, size: int, at: np.ndarray, found: np.ndarray, lengths: list[int]):
         """Per length, ``(length, shingles, first places)`` of the windows worth a fingerprint."""
@@ -168,7 +194,7 @@ class Items:
 
 def item_blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[Items]:
     """The benchmark in blocks of at most some ``BENCHMARK_BYTES``, by a hash of the text."""
-    rows = benchmark.select(F.col(key).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL AND id IS NOT NULL")
+    rows = benchmark.select(F.col(key).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     n = -(-2 * total // BENCHMARK_BYTES) if total > BENCHMARK_BYTES else 1
     for k in range(n):
@@ -211,7 +237,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
             found.append(docs.select(key, text).mapInArrow(run, schema))
     if not found:
         return spark.createDataFrame([], schema)
-    best = F.struct(-F.col("similarity"), F.col(item), F.col("start"), F.col("n_words"))
+    best = F.struct(-F.col("similarity"), F.col(item).isNull(), F.col(item), F.col("start"), F.col("n_words"))
     rows = reduce(DataFrame.union, found).groupBy(key).agg(F.min(best).alias("best"), F.sum("n_items").alias("n_items"))
     return rows.select(
         key, f"best.{item}", (-F.col("best.col1")).alias("similarity"), "best.start", "best.n_words", "n_items"

@@ -1,5 +1,6 @@
 """Language, safety, sentiment, keyphrases."""
 
+import hashlib
 import json
 import math
 import re
@@ -236,6 +237,14 @@ def test_semantic_keyphrases(docs):
     assert -1.000001 <= low <= high <= 1.000001
 
 
+def test_word_vectors_are_sums_of_hashed_signs(rows):
+    """A word alone in its posts gets the signs of its own hash, in every block of 32 dimensions."""
+    found = semantic.fit_word_vectors(rows([("zebra",), ("zebra",)], "text string"), size=72, min_count=2).first()
+    parts = [int(hashlib.md5(b"zebra").hexdigest()[8 * k : 8 * k + 8], 16) for k in range(3)]
+    assert found.word == "zebra"
+    assert found.v == [2.0 * (1 - 2 * (parts[i // 32] >> i % 32 & 1)) for i in range(72)]
+
+
 def test_repeated_keys_are_an_error(rows, profile):
     df = rows([(1, "apple banana cherry"), (1, "apple banana cherry")], "post_id int, text string")
     with pytest.raises(ValueError, match="unique"):

@@ -36,7 +36,11 @@ def fit_word_vectors(
     """``word, v`` of every word of at least ``min_count`` posts, written to shared storage; runs a job when called."""
     words = with_words(df.select(text), stop_words, text).select(F.array_distinct("_words").alias("_words"))
     blocks = range(-(-size // _SIGNS))
-    hashed = words.select("_words", *[F.transform("_words", lambda w, k=k: _bits(w, k)).alias(f"_b{k}") for k in blocks])
+
+    def signs(block: int) -> Column:
+        return F.transform("_words", lambda w: _bits(w, block))  # a second parameter would get the place in the array
+
+    hashed = words.select("_words", *[signs(k).alias(f"_b{k}") for k in blocks])
 
     def dimension(i: int) -> Column:
         bits, at = f"_b{i // _SIGNS}", i % _SIGNS

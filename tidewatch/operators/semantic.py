@@ -7,14 +7,18 @@ order of rows nor the number of tasks changes them, and nothing but rows of word
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.constants import STOP_WORDS
 from tidewatch.operators.joins import lookup
-from tidewatch.operators.keyphrases import phrases_of, with_words
+from tidewatch.operators.keyphrases import lists, phrase_list, with_words
 from tidewatch.session import stage
 
 #: Length of the vectors.
@@ -54,8 +58,20 @@ def fit_word_vectors(
     return stage(sums.filter(F.col("_n") >= min_count).select("word", vector.alias("v")), "word-vectors", path)
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+def _scored(words: list[str], found: dict[str, int], table: np.ndarray, ngram: tuple[int, int], n: int) -> list[tuple[str, float | None]]:
+    """The ``n`` phrases of a post closest to it: ``found`` has the row of ``table`` that is a word's vector."""
+    phrases = list(dict.fromkeys(phrase_list(words, ngram)))
+    at = [[found[w] for w in p.split(" ") if w in found] for p in phrases]
+    kept = [i for i, rows in enumerate(at) if rows]
+    if not kept:
+        return []
+    whole = table[[found[w] for w in words if w in found]].sum(axis=0)
+    starts = np.cumsum([0] + [len(at[i]) for i in kept[:-1]])
+    vectors = np.add.reduceat(table[[r for i in kept for r in at[i]]], starts, axis=0)
+    dots, size = vectors @ whole, np.einsum("ij,ij->i", vectors, vectors) * (whole @ whole)
+    scores = [round(d / math.sqrt(s), 6) if s > 0 else None for d, s in zip(dots.tolist(), size.tolist(), strict=True)]
+    order = sorted(zip(scores, (phrases[i] for i in kept), strict=True), key=lambda x: (x[0] is None, -(x[0] or 0.0), x[1]))
+    return [(p, x) for x, p in order[:n]]
 
 
 def keywords_semantic(
@@ -70,18 +86,24 @@ def keywords_semantic(
     posts = with_words(df.select(key, text).repartition(key), stop_words, text).select(key, "_words")
     used = posts.select(key, F.explode(F.array_distinct("_words")).alias("word"))
     known = lookup(used, vectors, "word", "inner")
-    known = known.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "v"))).alias("_known"))
-
-    def total(words: Column) -> Column:
-        """The sum of the words' vectors, and null without any."""
-        found = F.filter(F.transform(words, lambda w: F.try_element_at("_known", w)), lambda v: v.isNotNull())
-        start = F.get(found, F.lit(0))
-        return F.aggregate(F.slice(found, 2, 1 << 30), start, lambda s, v: F.zip_with(s, v, lambda x, y: x + y))
-
-    whole = posts.join(known, key).select(key, "_known", phrases_of(F.col("_words"), ngram).alias("_p"), total(F.col("_words")).alias("_d"))
-    pairs = F.transform(F.array_distinct("_p"), lambda p: F.struct(p.alias("keyword"), total(F.split(p, " ")).alias("v")))
-    whole = whole.select(key, "_d", F.filter(pairs, lambda p: p["v"].isNotNull()).alias("_p"))
-    cosine = lambda v: F.round(F.try_divide(_dot(v, F.col("_d")), F.sqrt(_dot(v, v) * _dot(F.col("_d"), F.col("_d")))), 6)
-    scored = F.transform("_p", lambda p: F.struct((-F.coalesce(cosine(p["v"]), F.lit(-2.0))).alias("s"), p["keyword"].alias("keyword")))
-    best = whole.select(key, F.posexplode(F.slice(F.array_sort(scored), 1, n)).alias("at", "p"))
-    return best.select(key, (F.col("at") + 1).alias("rank"), "p.keyword", F.nullif(-F.col("p.s"), F.lit(-2.0)).alias("score"))
+    known = known.groupBy(key).agg(F.collect_list(F.struct("word", "v")).alias("_known"))
+    # The vectors of a post come as one array, in the order of their words.
+    whole = posts.join(known, key).select(key, "_words", F.col("_known.word").alias("_k"), F.flatten("_known.v").alias("_v"))
+    rows = T.StructType([whole.schema[key], T.StructField("rank", T.IntegerType()), T.StructField("keyword", T.StringType()), T.StructField("score", T.DoubleType())])
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, ranks, names, scores = [], [], [], []
+            each = zip(lists(batch.column(1)), lists(batch.column(2)), batch.column(3), strict=True)
+            for i, (words, own, values) in enumerate(each):
+                table = values.values.to_numpy(zero_copy_only=False).reshape(len(own), -1)
+                best = _scored(words, {w: r for r, w in enumerate(own)}, table, ngram, n)
+                at += [i] * len(best)
+                ranks += range(1, len(best) + 1)
+                names += [p for p, _ in best]
+                scores += [x for _, x in best]
+            keys = batch.column(0).take(pa.array(at, pa.int64()))
+            columns = [keys, pa.array(ranks, pa.int32()), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [key, "rank", "keyword", "score"])
+
+    return whole.mapInArrow(rank, rows)

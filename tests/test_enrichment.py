@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch import constants
-from tidewatch.operators import classifier, joins, keyphrases, language, safety, semantic, sentiment
+from tidewatch.operators import bayes, classifier, joins, keyphrases, language, safety, semantic, sentiment
 from tidewatch.plans.enrichment import Resources, enrich_legacy, enrich_posts
 from tidewatch.session import stage
 from tidewatch.sources import views
@@ -245,6 +245,40 @@ def test_word_vectors_are_sums_of_hashed_signs(rows):
     assert found.v == [2.0 * (1 - 2 * (parts[i // 32] >> i % 32 & 1)) for i in range(72)]
 
 
+def test_only_chances_meet_their_frequencies(rows, monkeypatch):
+    """Phrases beaten for certain are left out early; with few listed frequencies, which give wider bounds, the best are the same."""
+    texts = {i: " ".join(f"w{i}x{k}" for k in range(40)) + " common" * 9 + f" rare{i}" * 7 + f" odd{i}" * 6 for i in range(9)}
+    df = rows(list(texts.items()), "post_id int, text string")
+    want = {(k, p) for k, top in brute_force_phrases(texts, 3, set(constants.STOP_WORDS)).items() for p, _ in top}
+    for listed in (keyphrases.LISTED, 3):
+        monkeypatch.setattr(keyphrases, "LISTED", listed)
+        assert {(r.post_id, r.keyword) for r in keyphrases.top_phrases(df).collect()} == want
+    stats = stage(keyphrases.phrase_stats(df), "stats")
+    choose = keyphrases._may_be_best(3, stats, 9, 1)
+    assert len(choose(Counter(texts[0].split()))) == 3
+
+
+def test_common_items_are_not_shuffled(rows, monkeypatch):
+    """A table over the limit meets its rows in two ways, with the same rows as by one join."""
+    table = rows([(f"i{k}", {"a": -k, "b": -k - 1}) for k in range(9)], "item string, scores map<string,bigint>")
+    posts = rows([(k % 4, f"i{k % 12}") for k in range(60)], "post_id int, item string")
+    plain = bayes.with_scores(posts, table, "item", "scores")
+    monkeypatch.setattr(bayes, "LISTED", 5)
+    split = bayes.with_scores(posts, table, "item", "scores")
+    by_row = lambda df: sorted((r.post_id, r.item, str(r.scores)) for r in df.collect())
+    assert by_row(split) == by_row(plain)
+    assert "BroadcastHashJoin" in split._jdf.queryExecution().toString()
+
+
+def test_many_labels_are_summed_as_rows(rows, monkeypatch):
+    posts = rows([(1, {"a": 1, "b": 3}), (1, {"a": 4, "b": 2}), (2, None), (3, {"a": 1, "b": 2})], "k int, s map<string,bigint>")
+    found = []
+    for wide in (64, 1):
+        monkeypatch.setattr(bayes, "WIDE", wide)
+        found.append({r.k: r.label for r in bayes.best_label(posts, "k", ["s"], {"a": 0, "b": 0}, "label", {"a": 0, "b": 0}).collect()})
+    assert found[0] == found[1] == {1: "a", 2: "a", 3: "b"}
+
+
 def test_repeated_keys_are_an_error(rows, profile):
     df = rows([(1, "apple banana cherry"), (1, "apple banana cherry")], "post_id int, text string")
     with pytest.raises(ValueError, match="unique"):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import tokens
-from tidewatch.operators.bayes import ITEM, PRIOR, UNSEEN, as_map, best_label, fit_scores, single
+from tidewatch.operators.bayes import ITEM, PRIOR, UNSEEN, best_label, fit_scores, single, with_scores
 from tidewatch.session import stage
 
 
@@ -23,7 +23,6 @@ def classify(df: DataFrame, model: DataFrame, key: str = "post_id", text: str =
     prior, unseen = single(model, PRIOR), single(model, UNSEEN)
     rows = df.select(key, F.explode(tokens(F.col(text))).alias("item"))
     known = model.filter(F.col("kind") == ITEM).select("item", "scores")
-    scores = F.coalesce("scores", as_map(unseen))
-    found = best_label(rows.join(known, "item", "left"), key, scores, "prediction", prior)
+    found = best_label(with_scores(rows, known, "item", "scores"), key, ["scores"], unseen, "prediction", prior)
     default = min(prior, key=lambda label: (-prior[label], label))
     return df.drop("prediction").join(found, key, "left").withColumn("prediction", F.coalesce("prediction", F.lit(default)))

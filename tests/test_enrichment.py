@@ -279,6 +279,15 @@ def test_many_labels_are_summed_as_rows(rows, monkeypatch):
     assert found[0] == found[1] == {1: "a", 2: "a", 3: "b"}
 
 
+def test_rare_words_meet_their_vectors_by_a_join(docs, monkeypatch):
+    few = docs.filter("post_id < 40")
+    model = semantic.fit_word_vectors(few, min_count=2)
+    by_row = lambda df: sorted((r.post_id, r["rank"], r.keyword, r.score) for r in df.collect())
+    plain = by_row(semantic.keywords_semantic(few, model))
+    monkeypatch.setattr(semantic, "LISTED", 20)
+    assert by_row(semantic.keywords_semantic(few, model)) == plain
+
+
 def test_repeated_keys_are_an_error(rows, profile):
     df = rows([(1, "apple banana cherry"), (1, "apple banana cherry")], "post_id int, text string")
     with pytest.raises(ValueError, match="unique"):

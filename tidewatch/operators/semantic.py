@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.constants import STOP_WORDS
+from tidewatch.functions.text import text_array
 from tidewatch.operators.joins import lookup
 from tidewatch.operators.keyphrases import lists, phrase_list, with_words
 from tidewatch.session import stage
 
 #: Length of the vectors.
 SIZE = 32
+#: Words of that length of vectors whose vectors go to every task.
+LISTED = 50_000
 #: Signs that are taken from one part of a hash, and such parts of a hash.
 _SIGNS, _PARTS = 32, 4
 
@@ -80,15 +83,29 @@ def keywords_semantic(
 ) -> DataFrame:
     """``key, rank, keyword, score``: phrases by cosine between their vector and the post's, both sums over words.
 
-    A phrase counts with the words that have vectors; phrases without any are left out. Each different word of a post
-    meets its vector once; phrases are made and ranked inside the post's row. ``key`` must be unique.
+    A phrase counts with the words that have vectors; phrases without any are left out. Vectors of up to LISTED words, those with
+    the largest sums, which are the commonest, go to every task; the different rarer words of a post meet theirs once. Phrases are
+    made and ranked inside the post's row. ``key`` must be unique. Runs jobs.
     """
-    posts = with_words(df.select(key, text).repartition(key), stop_words, text).select(key, "_words")
-    used = posts.select(key, F.explode(F.array_distinct("_words")).alias("word"))
-    known = lookup(used, vectors, "word", "inner")
-    known = known.groupBy(key).agg(F.collect_list(F.struct("word", "v")).alias("_known"))
-    # The vectors of a post come as one array, in the order of their words.
-    whole = posts.join(known, key).select(key, "_words", F.col("_known.word").alias("_k"), F.flatten("_known.v").alias("_v"))
+    posts = with_words(df.select(key, text).filter(F.col(key).isNotNull()).repartition(key), stop_words, text).select(key, "_words")
+    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.abs(x))
+    size = vectors.select(F.size("v").alias("n")).first()
+    most = LISTED * SIZE // max(SIZE, size["n"] if size else SIZE)
+    top = stage(vectors.orderBy(F.desc(length), "word").limit(most), "common-vectors")
+    listed = top.toArrow().combine_chunks()
+    names = listed["word"].to_pylist()
+    flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in listed["v"].chunks] or [np.zeros(0)])
+    common = df.sparkSession.sparkContext.broadcast(({w: i for i, w in enumerate(names)}, flat.reshape(len(names), -1) if names else None))
+    if len(names) < most:  # these are all
+        whole = posts.select(key, "_words", text_array([]).alias("_k"), F.array().cast("array<double>").alias("_v"))
+    else:
+        used = posts.select(key, F.explode(F.array_distinct("_words")).alias("word"))
+        rare = used.join(F.broadcast(top.select("word")), "word", "left_anti")
+        known = lookup(rare, vectors, "word", "inner").groupBy(key).agg(F.collect_list(F.struct("word", "v")).alias("_known"))
+        # The vectors of a post come as one array, in the order of their words.
+        own = F.coalesce("_known.word", text_array([])).alias("_k")
+        values = F.coalesce(F.flatten("_known.v"), F.array().cast("array<double>")).alias("_v")
+        whole = posts.join(known, key, "left").select(key, "_words", own, values)
     rows = T.StructType([whole.schema[key], T.StructField("rank", T.IntegerType()), T.StructField("keyword", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,8 +113,13 @@ def keywords_semantic(
             at, ranks, names, scores = [], [], [], []
             each = zip(lists(batch.column(1)), lists(batch.column(2)), batch.column(3), strict=True)
             for i, (words, own, values) in enumerate(each):
-                table = values.values.to_numpy(zero_copy_only=False).reshape(len(own), -1)
-                best = _scored(words, {w: r for r, w in enumerate(own)}, table, ngram, n)
+                place, table = common.value
+                near = [w for w in dict.fromkeys(words) if w in place]
+                parts = [table[[place[w] for w in near]]] if near else []
+                if own:
+                    parts.append(values.values.to_numpy(zero_copy_only=False).reshape(len(own), -1))
+                found = {w: r for r, w in enumerate(near + own)}
+                best = _scored(words, found, np.concatenate(parts), ngram, n) if found else []
                 at += [i] * len(best)
                 ranks += range(1, len(best) + 1)
                 names += [p for p, _ in best]

@@ -1,5 +1,6 @@
 """What moves and what is written: bytes that grow with the text are moved and stored as seldom as can be."""
 
+import pickle
 import re
 from collections import Counter
 
@@ -11,6 +12,7 @@ from tidewatch import session
 from tidewatch.operators import keyphrases, language
 from tidewatch.plans import enrichment, load_job, warehouse
 from tidewatch.plans.enrichment import Resources
+from tidewatch.queries import QUERIES, streams
 from tidewatch.sources import views
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
@@ -114,3 +116,25 @@ def test_a_small_table_is_dealt_out_and_a_large_one_is_not(spark, sf):
     cores = spark.sparkContext.defaultParallelism
     assert views.spread(views.documents(spark, sf), "doc_id").rdd.getNumPartitions() == cores
     assert exchanges(views.spread(spark.range(100, numPartitions=cores), "id")) == 0
+
+
+@pytest.mark.parametrize("name", ["stage_then_load"])
+def test_streams_write_posts_as_seldom_as_they_can(spark, sf, tmp_path, monkeypatch, name):
+    written = []
+    monkeypatch.setattr(streams, "remove_folder", lambda spark, path: written.append(spark.read.parquet(path).count()))
+    monkeypatch.setattr(session, "staging_root", lambda spark: str(tmp_path))
+    assert QUERIES[name](spark, sf).count() > 0
+    n = views.posts_base(spark, sf).count()
+    assert written == [2 * n if name == "enrich_repeated_posts" else n]  # the only copies of the posts before the stream, and they go
+    folders = list((tmp_path / "tidewatch").iterdir())
+    labels = {re.sub("-[0-9a-f]{32}$", "", f.name) for f in folders}
+    assert not labels & {"value-files", "message-files", "tagged" if name != "stage_then_load" else "enriched"}
+    stats = [f for f in folders if re.match("(corpus-)?phrases-", f.name)]
+    assert stats and all(spark.read.parquet(str(f)).agg(F.min("df")).first()[0] == 2 for f in stats)
+
+
+def test_word_scores_keep_what_they_know_when_sent():
+    scores = language.WordScores({"_": [1, 2], "a": [3, 5]}, [-1, -7], True)
+    want = scores.sums("a b a")[0].tolist()
+    sent = pickle.loads(pickle.dumps(scores))
+    assert len(sent) == 2 and sent.sums("b a a")[0].tolist() == want

@@ -118,7 +118,7 @@ def test_a_small_table_is_dealt_out_and_a_large_one_is_not(spark, sf):
     assert exchanges(views.spread(spark.range(100, numPartitions=cores), "id")) == 0
 
 
-@pytest.mark.parametrize("name", ["stage_then_load", "enrich_repeated_posts"])
+@pytest.mark.parametrize("name", ["stage_then_load", "enrich_repeated_posts", "stream_enrichment"])
 def test_streams_write_posts_as_seldom_as_they_can(spark, sf, tmp_path, monkeypatch, name):
     written = []
     monkeypatch.setattr(streams, "remove_folder", lambda spark, path: written.append(spark.read.parquet(path).count()))

@@ -100,13 +100,20 @@ def _replace(rows: DataFrame, path: str, partition_by: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
 
 
-def _partitions(spark: SparkSession, path: str, schema: StructType, partition_by: str, parts: Sequence) -> DataFrame | None:
-    """The rows of some partitions of the table at ``path``, or ``None`` where nothing was written yet."""
+def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The table that ``upsert_table`` keeps at ``path``, or ``None`` where nothing was written yet."""
     try:
-        table = spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as err:
         if err.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+
+
+def _partitions(spark: SparkSession, path: str, schema: StructType, partition_by: str, parts: Sequence) -> DataFrame | None:
+    """The rows of some partitions of the table at ``path``, or ``None`` where nothing was written yet."""
+    table = existing(spark, path, schema)
+    if table is None:
+        return None
     known = F.col(partition_by).isin([p for p in parts if p is not None])
     return table.filter(known | F.col(partition_by).isNull() if None in parts else known).select(*schema.names)
